@@ -27,11 +27,26 @@ def ladder(cases, otherwise) -> Column:
 
 def lookup(key: Column, mapping: dict, otherwise=None) -> Column:
     """Literal dictionary lookup; an absent or NULL key takes ``otherwise``."""
-    entries = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-    found = F.try_element_at(entries, key)
+    entries = ", ".join(_literal(x) for pair in mapping.items() for x in pair)
+    found = F.try_element_at(F.expr(f"map({entries})"), key)
     return found if otherwise is None else F.coalesce(found, F.lit(otherwise))
 
 
+def _literal(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value}D" if isinstance(value, float) else str(value)
+
+
+def choose(options, position: Column) -> Column:
+    """The option (text, or list of texts) at ``position`` modulo their number."""
+    texts = [
+        "cast(array(" + ", ".join(_literal(x) for x in o) + ") AS array<string>)" if isinstance(o, list) else _literal(o)
+        for o in options
+    ]
+    return F.element_at(F.expr(f"array({', '.join(texts)})"), (F.pmod(position, F.lit(len(options))) + 1).cast("int"))
+
+
 def clamp(value: Column, low=0.0, high=100.0) -> Column:
     """Limit to ``[low, high]``; NULL stays NULL."""
     return F.when(value.isNotNull(), F.greatest(F.lit(float(low)), F.least(value, F.lit(float(high)))))

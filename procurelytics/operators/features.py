@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from procurelytics import constants as K
 from procurelytics.operators.ranking import as_list, series_window
+from procurelytics.sources.tables import literal_rows
 
 TARGET = "total_obligations_usd"
 TARGET_PARTS = ["month", TARGET, "prime_obligations_usd", "subaward_obligations_usd"]
@@ -128,7 +129,7 @@ def temporal_split(df: DataFrame, order="month", series=None, test=12) -> DataFr
 def calendar_events(spark: SparkSession, years, events=None) -> DataFrame:
     """The yearly events of each year, with the dates their windows span."""
     events = K.CALENDAR_EVENTS if events is None else events
-    table = spark.createDataFrame(events, "event string, month_no int, day_no int, before int, after int")
+    table = literal_rows(spark, events, ["event", "month_no", "day_no", "before", "after"])
     year = F.explode(F.array(*[F.lit(int(y)) for y in years])).alias("year")
     day = F.make_date("year", "month_no", "day_no")
     return table.select("*", year).select(

@@ -169,7 +169,8 @@ def seasonality(signals: DataFrame, *, lookback=12, series=None) -> DataFrame:
 
 
 def volatility_swings(signals: DataFrame, value=VALUE, order="month", *, lookback=12, threshold=0.2, series=None) -> DataFrame:
-    """Deviation, variation and the number of month-to-month changes beyond the threshold."""
+    """Deviation, variation and the number of month-to-month changes beyond the threshold,
+    all inside the last ``lookback`` months."""
     before = F.lag(value).over(series_window(series, order))
     aged = with_age(signals, order, series).where(F.col("age") <= lookback)
     moves = aged.withColumn("_move", F.abs(F.try_divide(F.col(value) - before, before)))

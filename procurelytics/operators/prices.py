@@ -8,6 +8,7 @@ from procurelytics import constants as K
 from procurelytics.functions.bands import band
 from procurelytics.operators.ranking import as_list, latest_period, series_window
 from procurelytics.operators.risk import enrich
+from procurelytics.sources.tables import literal_rows
 
 
 def pct_changes(df: DataFrame, *, key="indicator_code", order="as_of_date", value="value", lags=(1, 3, 12)) -> DataFrame:
@@ -41,7 +42,7 @@ def series_metadata(spark, entries=None) -> DataFrame:
     """The price-series table: ticker, category and use."""
     entries = K.PRICE_SERIES if entries is None else entries
     rows = [(t, category, use) for t, (_, category, use, _) in entries.items()]
-    return spark.createDataFrame(rows, "ticker string, category string, defense_use string")
+    return literal_rows(spark, rows, ["ticker", "category", "defense_use"])
 
 
 def commodity_enriched(indicators: DataFrame, metadata: DataFrame, *, source: str | None = None) -> DataFrame:

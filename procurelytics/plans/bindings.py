@@ -10,10 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from procurelytics import constants as K
+from procurelytics.functions.bands import choose, lookup
 from procurelytics.functions.dates import as_date, fiscal_year, month_of, month_spine
 from procurelytics.operators import inventory, prices, risk, rollups, signals, weather
+from procurelytics.session import cut_lineage
 from procurelytics.sources import payloads
-from procurelytics.sources.tables import read_parquet
+from procurelytics.sources.schemas import TEST_TABLES
+from procurelytics.sources.tables import literal_rows, read_parquet as _read_parquet
 
 SERIES_START = "1995-01-01"
 AS_OF = "2001-08-01"
@@ -35,6 +38,11 @@ NOTICE_PHRASES = [
 NOTICE_TYPES = ["RULE", "Proposed Rule", "Notice"]
 
 
+def read_parquet(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A test table under its declared schema, so that no job reads footers first."""
+    return _read_parquet(spark, d, name, TEST_TABLES[name])
+
+
 def as_of() -> Column:
     return F.lit(AS_OF).cast("date")
 
@@ -98,7 +106,6 @@ def supplier_locations(spark: SparkSession, d: str) -> DataFrame:
     rows = read_parquet(spark, d, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
     key = F.col("s_suppkey")
     balance = F.col("s_acctbal")
-    from procurelytics.functions.bands import lookup
     located = rows.select(
         key.alias("supplier_key"), F.col("s_name").alias("supplier_name"),
         F.concat(F.lit("UEI"), key.cast("string")).alias("uei"),
@@ -106,8 +113,7 @@ def supplier_locations(spark: SparkSession, d: str) -> DataFrame:
         (F.pmod(key * 37, F.lit(120)) - 60).cast("double").alias("lat"),
         (F.pmod(key * 53, F.lit(360)) - 180).cast("double").alias("lon"),
         lookup(F.col("r_name"), REGION_NAMES, "OTHER").alias("region_group"),
-        F.element_at(F.array(*[F.lit(s) for s in SUBSYSTEMS]), (F.pmod(key, F.lit(len(SUBSYSTEMS))) + 1).cast("int"))
-        .alias("subsystem_category"),
+        choose(SUBSYSTEMS, key).alias("subsystem_category"),
         F.when(balance < 3000, "SMALL").when(balance < 7000, "MEDIUM").otherwise("LARGE").alias("company_size"),
     )
     return risk.distance_to(located)
@@ -115,7 +121,6 @@ def supplier_locations(spark: SparkSession, d: str) -> DataFrame:
 
 # --- trade, geography, prices, weather ----------------------------------------------
 def trade_events(spark: SparkSession, d: str) -> DataFrame:
-    from procurelytics.functions.bands import lookup
     orders, customers = read_parquet(spark, d, "orders"), read_parquet(spark, d, "customer")
     rows = orders.join(customers, orders.o_custkey == customers.c_custkey)
     group = F.pmod("o_custkey", F.lit(10))
@@ -169,7 +174,7 @@ PRICE_METADATA = [
 
 
 def price_table(spark: SparkSession, d: str) -> DataFrame:
-    metadata = spark.createDataFrame(PRICE_METADATA, "ticker string, category string, defense_use string")
+    metadata = literal_rows(spark, PRICE_METADATA, ["ticker", "category", "defense_use"])
     return prices.commodity_enriched(price_indicators(spark, d), metadata, source="price_series")
 
 
@@ -184,10 +189,9 @@ def weather_obs(spark: SparkSession, d: str) -> DataFrame:
         (F.count_if(F.col("event_type") == "error") * 8).cast("double").alias("snow"),
     )
     month = F.add_months(F.lit(WEATHER_START).cast("date"), F.col("period"))
-    kinds = F.array(F.lit("PLANT"), F.lit("PORT"), F.lit("SUPPLIER_HUB"))
     return daily.select(
         month.alias("month"), F.concat(F.lit("LOC"), F.col("loc").cast("string")).alias("location_id"),
-        F.element_at(kinds, (F.pmod("loc", F.lit(3)) + 1).cast("int")).alias("location_type"),
+        choose(["PLANT", "PORT", "SUPPLIER_HUB"], F.col("loc")).alias("location_type"),
         "tavg", "tmin", "tmax", "prcp", "snow", "wspd",
     )
 
@@ -230,8 +234,14 @@ def demand_signals(spark: SparkSession, d: str, with_pivot=False) -> DataFrame:
     )
 
 
-def inventory_gold(spark: SparkSession, d: str) -> DataFrame:
-    return inventory.inventory_table(demand_signals(spark, d))
+def stored_signals(spark: SparkSession, d: str) -> DataFrame:
+    """The signal table written once, for queries that read it several times: the facts
+    are then scanned once, as they are when a gold table is served."""
+    return cut_lineage(demand_signals(spark, d))
+
+
+def inventory_gold(signal_table: DataFrame) -> DataFrame:
+    return inventory.inventory_table(signal_table)
 
 
 def vendor_demand(spark: SparkSession, d: str) -> DataFrame:
@@ -259,11 +269,11 @@ def type_demand(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def forecasts(spark: SparkSession, d: str) -> dict:
+def forecasts(signal_table: DataFrame) -> dict:
     """Three deterministic forecast tables: the signals of a year before, scaled."""
     def table(factor, name):
         value = F.col("total_obligations_usd") * factor
-        return demand_signals(spark, d).select(
+        return signal_table.select(
             F.add_months("month", 12).alias("month"), value.alias("forecast_demand_usd"),
             (value * 0.85).alias("forecast_lower"), (value * 1.15).alias("forecast_upper"),
             F.lit(name).alias("model_type"),
@@ -282,7 +292,7 @@ def feature_importance(spark: SparkSession, d: str) -> DataFrame:
     """Importance per feature name; two names are unknown to the label table."""
     names = [*K.FEATURE_LABELS, "vendor_count_x", "award_rate"]
     parts = read_parquet(spark, d, "part")
-    name = F.element_at(F.array(*[F.lit(n) for n in names]), (F.pmod("p_partkey", F.lit(len(names))) + 1).cast("int"))
+    name = choose(names, F.col("p_partkey"))
     sums = parts.groupBy(name.alias("feature")).agg(F.sum(F.col("p_retailprice") * F.col("p_size")).alias("w"))
     total = sums.agg(F.sum("w")).scalar()
     return sums.select("feature", (F.col("w") / total).alias("importance"))
@@ -292,8 +302,7 @@ def feature_importance(spark: SparkSession, d: str) -> DataFrame:
 def notices(spark: SparkSession, d: str) -> DataFrame:
     """Documents as notices: the whole text, headed by a phrase per document."""
     docs = read_parquet(spark, d, "documents")
-    phrase = F.element_at(F.array(*[F.lit(p) for p in NOTICE_PHRASES]), (F.pmod("doc_id", F.lit(len(NOTICE_PHRASES))) + 1).cast("int"))
-    kind = F.element_at(F.array(*[F.lit(t) for t in NOTICE_TYPES]), (F.pmod("doc_id", F.lit(3)) + 1).cast("int"))
+    phrase, kind = choose(NOTICE_PHRASES, F.col("doc_id")), choose(NOTICE_TYPES, F.col("doc_id"))
     return docs.select("doc_id", F.concat_ws(" ", phrase, "text").alias("title"), kind.alias("doc_type"))
 
 
@@ -313,25 +322,21 @@ def evaluation_log(spark: SparkSession, d: str) -> DataFrame:
     pairs = said.join(asked, (F.col("a.conv_id") == F.col("u.conv_id")) & (F.col("a.turn") == F.col("u.turn") + 1))
     conv, turn = F.col("a.conv_id"), F.col("a.turn")
 
-    def pick(options, position, kind="string"):
-        literals = [F.array(*[F.lit(x) for x in o]).cast("array<string>") if isinstance(o, list) else F.lit(o) for o in options]
-        return F.element_at(F.array(*literals), (F.pmod(position, F.lit(len(options))) + 1).cast("int"))
-
     amount = (conv + 1) * 1000
     shown = F.when(F.pmod(conv, F.lit(3)) == 0, (amount * 11 / 10).cast("bigint")).otherwise(amount)
-    actual = pick(ACTUAL_TOOLS, F.length("a.text"))
+    actual = choose(ACTUAL_TOOLS, F.length("a.text"))
     tool_text = F.concat(F.col("u.text"), F.lit(" $"), amount.cast("string"))
     return pairs.select(
         F.concat(F.lit("run-"), turn.cast("string")).alias("run_id"),
         F.concat_ws("-", conv.cast("string"), turn.cast("string")).alias("prompt_id"),
-        pick(CATEGORIES, conv).alias("category"), pick(DIFFICULTIES, conv).alias("difficulty"),
+        choose(CATEGORIES, conv).alias("category"), choose(DIFFICULTIES, conv).alias("difficulty"),
         F.col("u.text").alias("prompt"),
         F.concat(F.col("a.text"), F.lit(" $"), shown.cast("string")).alias("response"),
-        pick(EXPECTED_TOOLS, conv).alias("expected_tools"), actual.alias("actual_tools"),
+        choose(EXPECTED_TOOLS, conv).alias("expected_tools"), actual.alias("actual_tools"),
         F.when(F.size(actual) > 0, F.array(tool_text)).otherwise(F.array().cast("array<string>")).alias("tool_outputs"),
         F.slice(F.split("u.text", " "), 1, 2).alias("required_keywords"),
         F.array(F.lit("tion"), F.lit("xyzzy")).alias("banned_phrases"),
-        pick(SPECIALS, conv).alias("special"),
+        choose(SPECIALS, conv).alias("special"),
         (F.length("a.text") / 100.0).alias("latency_seconds"),
         F.date_add(F.lit(EVENTS_START).cast("date"), turn.cast("int")).cast("timestamp").alias("timestamp"),
     )

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from procurelytics import constants as K
 from procurelytics.functions import dates
+from procurelytics.functions.bands import choose
 from procurelytics.operators import inventory, prices, ranking, risk, rollups, signals, weather
 from procurelytics.plans import bindings as B
 from procurelytics.plans.catalog import views as V
@@ -44,9 +45,8 @@ COUNTRIES = ["USA", "DEU", "JPN", "SAU", "NGA", "CHN", "XXX"]
 SELECT s_suppkey AS supplier_key, country, {V.mapped('country', K.COUNTRY_REGION, chr(39) + 'OTHER' + chr(39))} AS region_group FROM (
 SELECT s_suppkey, {V.pick([V.text(c) for c in COUNTRIES], 's_nationkey')} AS country FROM supplier)""", ints="supplier_key"))
 def region_lookup(spark, d):
-    from procurelytics.sources.tables import read_parquet
-    code = F.element_at(F.array(*[F.lit(c) for c in COUNTRIES]), (F.pmod("s_nationkey", F.lit(len(COUNTRIES))) + 1).cast("int"))
-    rows = read_parquet(spark, d, "supplier").select(F.col("s_suppkey").alias("supplier_key"), code.alias("country"))
+    code = choose(COUNTRIES, F.col("s_nationkey"))
+    rows = B.read_parquet(spark, d, "supplier").select(F.col("s_suppkey").alias("supplier_key"), code.alias("country"))
     return shown(risk.region_lookup(rows, "country"))
 
 
@@ -247,8 +247,7 @@ def high_weather_events(spark, d):
 SELECT CAST(unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), INTERVAL 1 MONTH)) AS DATE) AS month
 FROM (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders)"""))
 def month_spine(spark, d):
-    from procurelytics.sources.tables import read_parquet
-    return dates.month_spine_of(read_parquet(spark, d, "orders"), "o_orderdate")
+    return dates.month_spine_of(B.read_parquet(spark, d, "orders"), "o_orderdate")
 
 
 @query("fiscal_calendar", sql("contracts", f"""
@@ -336,7 +335,7 @@ GOLD_DOUBLES = " ".join(c for c in inventory.GOLD_COLUMNS if c.split("_")[0] in
 @query("inventory_metrics_gold", sql("gold", f"SELECT {', '.join(inventory.GOLD_COLUMNS)} FROM gold",
                                      ints="fiscal_year lead_time_days_assumed", doubles=GOLD_DOUBLES, digits=2))
 def inventory_metrics_gold(spark, d):
-    return shown(B.inventory_gold(spark, d), digits=2)
+    return shown(B.inventory_gold(B.demand_signals(spark, d)), digits=2)
 
 
 @query("metrics_summary", sql("gold", """
@@ -345,7 +344,7 @@ SELECT avg(demand_proxy_usd) AS avg_monthly_demand, avg(avg_daily_demand_proxy)
        avg(days_of_supply_proxy) AS avg_days_of_supply FROM gold""", digits=2,
                               doubles="avg_monthly_demand avg_daily_demand avg_demand_stddev avg_safety_stock avg_requirements_objective avg_days_of_supply"))
 def metrics_summary(spark, d):
-    return shown(inventory.metrics_summary(B.inventory_gold(spark, d)), digits=2)
+    return shown(inventory.metrics_summary(B.inventory_gold(B.demand_signals(spark, d))), digits=2)
 
 
 @query("metrics_latest", sql("gold", f"""
@@ -354,7 +353,7 @@ SELECT month, requirements_objective_proxy, risk_adjusted_ro, approved_acquisiti
        coefficient_of_variation, forecast_method_recommendation FROM gold ORDER BY month DESC LIMIT 1""", digits=2,
                              doubles="requirements_objective_proxy risk_adjusted_ro approved_acquisition_objective_proxy days_of_supply_proxy coefficient_of_variation"))
 def metrics_latest(spark, d):
-    return shown(inventory.metrics_latest(B.inventory_gold(spark, d)), digits=2)
+    return shown(inventory.metrics_latest(B.inventory_gold(B.demand_signals(spark, d))), digits=2)
 
 
 def vendor_inventory(spark, d):

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # call-site capture per Column call costs more than building the plan itself
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 
-def read_parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+def read_parquet(spark: SparkSession, folder: str, name: str, schema=None) -> DataFrame:
+    """A parquet table of a folder; with a declared schema no job looks at the files first."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def load(spark: SparkSession, name: str, schema: T.StructType | None = None, folder: str | None = None) -> DataFrame:
@@ -31,3 +33,10 @@ def scan_sql(spark: SparkSession, df: DataFrame, limit: int | None = None, order
     if limit is None:
         return spark.sql(text, source=df)
     return spark.sql(text + " LIMIT :row_limit", args={"row_limit": int(limit)}, source=df)
+
+
+def literal_rows(spark: SparkSession, rows, columns) -> DataFrame:
+    """A short constant table, built from literals inside the JVM.  Spark knows that it is
+    small, so a join to it needs no hint."""
+    structs = [F.struct(*[F.lit(v).alias(c) for v, c in zip(row, columns)]) for row in rows]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
