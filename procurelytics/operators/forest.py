@@ -134,8 +134,9 @@ def forecast_rf_recursive(model: RandomForestRegressionModel, history: DataFrame
                           months=12, margin=0.15) -> DataFrame:
     """The next ``months`` months, each predicted from the values before it, predicted ones
     included, with the features of the month itself.  A series is one row holding its
-    last twelve values, so all steps are narrow: no shuffle after the first.  Other
-    columns stay at their last value; the interval is plus and minus ``margin``."""
+    last twelve values, so a step shuffles nothing; its result is written to the shared
+    folder, which keeps the plan short and survives lost executors.  Other columns stay
+    at their last value; the interval is plus and minus ``margin``."""
     keys = as_list(series)
     made = {"month_of_year", "quarter", "is_q4", "month_sin", "month_cos"}
     carried = [c for c in names if c in history.columns and c not in made]
@@ -155,11 +156,11 @@ def forecast_rf_recursive(model: RandomForestRegressionModel, history: DataFrame
         vector = F.array(*[made_now.get(n, F.col(n) if n in now.columns else None).cast("double") for n in names])
         predicted = model.transform(now.withColumn(VECTOR, array_to_vector(vector)))
         y = F.col("forecast_demand_usd")
-        state = predicted.select(
+        state = cut_lineage(predicted.select(
             *base,
             F.slice(F.concat("_ys", F.array(y)), 2, 12).alias("_ys"),
             F.concat("_out", F.array(F.struct(F.col("month"), y.alias("y")))).alias("_out"),
-        )
+        ))
     value = F.col("o.y")
     return state.select(*keys, F.explode("_out").alias("o")).select(
         *keys, F.col("o.month").alias("month"), value.alias("forecast_demand_usd"),

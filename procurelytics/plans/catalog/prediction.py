@@ -164,7 +164,7 @@ def forecast_ar(spark, d):
 
 def _forest(spark, d):
     rows, names = forest.prepare(B.type_demand(spark, d), series="series")
-    return rows, names, forest.fit_rf(rows.where(F.col("split") == "TRAIN"), names)
+    return rows, names, forest.fit_rf(rows.where(F.col("split") == "TRAIN"), names, trees=50, depth=10)
 
 
 @query("forecast_rf")
