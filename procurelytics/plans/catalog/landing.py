@@ -102,7 +102,7 @@ def flatten_entities(spark, d):
                  F.struct(choose(NAICS, F.col("supplier_key")).alias("primaryNaics")).alias("entityInformation")).alias("coreData"),
     )
     again = F.explode(F.array(F.lit(1), F.lit(2))).alias("page")
-    text = s.select("supplier_key", entity.alias("e"), again).select(
+    text = s.select("supplier_key", entity.alias("e")).select("e", again).select(
         F.to_json(F.struct(F.lit("336120").alias("naics"), F.col("page"), F.array("e").alias("entityData"))).alias("page_text"))
     pages = text.select(F.from_json("page_text", schemas.ENTITY_PAGE).alias("p")).select("p.*")
     return payloads.flatten_entities(pages).select(
