@@ -41,14 +41,14 @@ def parse_quarter_period(period: Column) -> Column:
         F.lit("01"),
     )
     quarterly = F.concat_ws("-", F.substring(parts[0], 1, 4), month, F.lit("01"))
-    return F.when(text.contains("Q"), quarterly).otherwise(_date_or_year(period)).try_cast("date")
+    return F.when(text.contains("Q"), quarterly).otherwise(_date_or_year(period)).transform(_strict_date)
 
 
 def parse_compact_period(period: Column) -> Column:
     """``YYYYMM`` -> first of that month; shorter text is a bare year."""
     text = period.cast("string")
     monthly = F.concat_ws("-", F.substring(text, 1, 4), F.lpad(F.substring(text, 5, 2), 2, "0"), F.lit("01"))
-    return F.when(F.length(text) >= 6, monthly).otherwise(F.concat(text, F.lit("-01-01"))).try_cast("date")
+    return F.when(F.length(text) >= 6, monthly).otherwise(F.concat(text, F.lit("-01-01"))).transform(_strict_date)
 
 
 def parse_index_date(period: Column) -> Column:
@@ -58,7 +58,12 @@ def parse_index_date(period: Column) -> Column:
     pattern = r"^(\d{4})[-/]?(\d{1,2})?"
     month = F.lpad(F.coalesce(F.nullif(F.regexp_extract(text, pattern, 2), F.lit("")), F.lit("1")), 2, "0")
     monthly = F.concat_ws("-", F.regexp_extract(text, pattern, 1), month, F.lit("01"))
-    return F.when(text.rlike(pattern), monthly).otherwise(_date_or_year(period)).try_cast("date")
+    return F.when(text.rlike(pattern), monthly).otherwise(_date_or_year(period)).transform(_strict_date)
+
+
+def _strict_date(text: Column) -> Column:
+    """DATE from ``YYYY-MM-DD``; a year of five digits is an error in the file, not a date."""
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text).try_cast("date")
 
 
 def _date_or_year(period: Column) -> Column:

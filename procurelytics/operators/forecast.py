@@ -78,6 +78,13 @@ def monthly_series(df: DataFrame, y=VALUE, regressors=(), *, series=None, order=
     return reduced.where(F.col("y") > 0)
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Series over all shuffle partitions.  Few bytes per series would let Spark merge the
+    partitions into a handful of tasks, but the fits cost time, not bytes; an explicit
+    number of partitions is left as it is, and the grouped fit needs no second shuffle."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "series")
+
+
 def _z(level: float) -> float:
     return NormalDist().inv_cdf(0.5 + level / 2)
 
@@ -161,7 +168,7 @@ def forecast_fourier(df: DataFrame, *, series=None, y=VALUE, regressors=(), hori
             "actual_demand_usd": pdf["y"], "is_forecast": pdf["is_forecast"], "model_type": "FOURIER",
         })
 
-    return design.select("series", "month", "y", "x", "parts", "is_forecast").groupBy("series").applyInPandas(fit, FOURIER_SCHEMA)
+    return _spread(design.select("series", "month", "y", "x", "parts", "is_forecast")).groupBy("series").applyInPandas(fit, FOURIER_SCHEMA)
 
 
 CV_SCHEMA = (
@@ -197,7 +204,7 @@ def forecast_cv(df: DataFrame, *, series=None, y=VALUE, regressors=(), initial=7
         columns = [part.split()[0] for part in CV_SCHEMA.split(", ")]
         return pd.concat(out) if out else pd.DataFrame(columns=columns)
 
-    return design.select("series", "month", "y", "x").groupBy("series").applyInPandas(check, CV_SCHEMA)
+    return _spread(design.select("series", "month", "y", "x")).groupBy("series").applyInPandas(check, CV_SCHEMA)
 
 
 # --- seasonal autoregression -----------------------------------------------------------
@@ -266,4 +273,4 @@ def forecast_ar(df: DataFrame, *, series=None, y=VALUE, exog=(), max_p=3, season
             "actual_demand_usd": pdf["y"], "is_forecast": pdf["is_forecast"], "ar_order": p, "seasonal": bool(lag), "model_type": "SEASONAL_AR",
         }).dropna(subset=["forecast_demand_usd"])
 
-    return rows.groupBy("series").applyInPandas(fit, AR_SCHEMA)
+    return _spread(rows).groupBy("series").applyInPandas(fit, AR_SCHEMA)

@@ -6,6 +6,7 @@ stored copy, so each fact table is scanned once; without one the whole flow stay
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from procurelytics.functions.dates import month_spine
 from procurelytics.operators import inventory, prices, risk, rollups, signals, weather
@@ -25,6 +26,16 @@ def supplier_locations(entities: DataFrame) -> DataFrame:
     )
 
 
+def in_range(df: DataFrame, date_col: str, start: str, end: str) -> DataFrame:
+    """Rows from the month of ``start`` to the month of ``end``, as a plain comparison on the
+    stored column: it reaches the parquet scan, and the partitions if the table is
+    partitioned by it.  Text dates are left to the month expression."""
+    if isinstance(df.schema[date_col].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        first, after = F.trunc(F.lit(start).cast("date"), "month"), F.add_months(F.trunc(F.lit(end).cast("date"), "month"), 1)
+        return df.where((F.col(date_col) >= first) & (F.col(date_col) < after))
+    return df
+
+
 def build(spark: SparkSession, sources: dict, *, start: str, end: str, categories=(), price_source: str | None = None,
           root: str | None = None) -> dict[str, DataFrame]:
     """``sources`` may hold awards, subawards, trade_events, indicators, weather_obs,
@@ -46,8 +57,9 @@ def build(spark: SparkSession, sources: dict, *, start: str, end: str, categorie
     trade = None if events is None else keep("gold", "trade_risk_monthly", risk.trade_risk_index(events))
     table = signals.unified_demand_signals(
         month_spine(spark, start, end),
-        prime=given("awards", rollups.prime_monthly),
-        sub=given("subawards", lambda s: rollups.subaward_monthly(s, categories=categories)),
+        prime=given("awards", lambda a: rollups.prime_monthly(in_range(a, "action_date", start, end))),
+        sub=given("subawards", lambda s: rollups.subaward_monthly(
+            in_range(s, "subaward_action_date", start, end), categories=categories)),
         geo=given("geo_risk", rollups.geo_risk_monthly),
         trade=None if trade is None else signals.trade_signal(trade),
         commodity=None if price is None else rollups.commodity_pressure_monthly(price),
