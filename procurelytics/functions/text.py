@@ -10,6 +10,12 @@ from procurelytics.constants import DOLLAR_PATTERN, LONG_NUMBER_PATTERN
 from procurelytics.functions.bands import ladder
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once.  Inside a lambda an outer expression is
+    computed again for every element; a lambda variable is not."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def mentions(lowered: Column, word: str, word_boundary: bool = False) -> Column:
     """Does the lower-cased text hold ``word``: anywhere, or only as a whole word."""
     if word_boundary:
@@ -39,7 +45,7 @@ def first_listed_code(text: Column, codes, otherwise: str, pattern: str = r"(?U)
     """The first token matching ``pattern`` that is one of ``codes``."""
     tokens = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
     known = F.array(*[F.lit(code) for code in codes])
-    listed = F.filter(tokens, lambda token: F.array_contains(known, token))
+    listed = let(known, lambda all_codes: F.filter(tokens, lambda token: F.array_contains(all_codes, token)))
     return F.coalesce(F.try_element_at(listed, F.lit(1)), F.lit(otherwise))
 
 

@@ -3,11 +3,11 @@ array expressions; only the reports aggregate."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from procurelytics import constants as K
 from procurelytics.functions import text as tx
-from procurelytics.operators.ranking import as_list
+from procurelytics.operators.ranking import as_list, series_window
 
 
 def _share(hits: Column, of: Column, empty: float) -> Column:
@@ -27,8 +27,7 @@ def eval_tool_accuracy(log: DataFrame) -> DataFrame:
 
 
 def _held(phrases: Column, text: Column) -> Column:
-    lowered = F.lower(text)
-    return F.filter(phrases, lambda p: F.contains(lowered, F.lower(p)))
+    return tx.let(F.lower(text), lambda lowered: F.filter(phrases, lambda p: F.contains(lowered, F.lower(p))))
 
 
 def eval_keywords(log: DataFrame) -> DataFrame:
@@ -76,8 +75,7 @@ def eval_traceability(log: DataFrame) -> DataFrame:
         "_said": tx.amounts(F.col("response"), skip_years=True),
         "_known": tx.amounts(F.array_join("tool_outputs", " ")),
     })
-    known = F.col("_known")
-    lost = F.filter("_said", lambda n: ~F.exists(known, lambda t: _near(n, t)))
+    lost = tx.let(F.col("_known"), lambda known: F.filter("_said", lambda n: ~F.exists(known, lambda t: _near(n, t))))
     staged = staged.withColumn("_lost", lost)
     flags = F.concat(
         F.transform("_lost", lambda n: F.concat(F.lit("Untraceable number: "), n.cast("string"))), _special_flags()
@@ -98,21 +96,20 @@ def eval_groundedness(log: DataFrame) -> DataFrame:
     text; 0.5 without tool output or sentences."""
     tools = F.lower(F.array_join("tool_outputs", " "))
     parts = F.transform(F.split("response", r"[.!?\n]"), lambda s: F.trim(F.regexp_replace(s, r"[\r\t]", " ")))
-    staged = log.withColumns({
-        "_tools": tools,
-        "_sentences": F.filter(parts, lambda s: F.length(s) > 20),
-    })
-    held = F.col("_tools")
+    staged = log.withColumn("_sentences", F.filter(parts, lambda s: F.length(s) > 20))
+
+    def share_held(words, held):
+        return F.try_divide(F.size(F.filter(words, lambda w: F.contains(held, w))), F.size(words))
 
-    def grounded(sentence):
-        words = tx.long_words(F.lower(sentence))
-        found = F.filter(words, lambda w: F.contains(held, w))
-        return F.coalesce(F.try_divide(F.size(found), F.size(words)) > 0.3, F.lit(False))
+    def grounded(sentence, held):
+        share = tx.let(tx.long_words(F.lower(sentence)), lambda words: share_held(words, held))
+        return F.coalesce(share > 0.3, F.lit(False))
 
-    share = F.try_divide(F.size(F.filter("_sentences", grounded)), F.size("_sentences"))
+    hits = tx.let(tools, lambda held: F.filter("_sentences", lambda s: grounded(s, held)))
+    share = F.try_divide(F.size(hits), F.size("_sentences"))
     has_tools = F.coalesce(F.size("tool_outputs"), F.lit(0)) > 0
     score = F.when(has_tools, F.coalesce(share, F.lit(0.5))).otherwise(0.5)
-    return staged.withColumn("groundedness_score", score).drop("_tools", "_sentences")
+    return staged.withColumn("groundedness_score", score).drop("_sentences")
 
 
 def in_scope(log: DataFrame, scope="all", max_n=0) -> DataFrame:
@@ -167,8 +164,8 @@ def failed_prompts(scored: DataFrame) -> DataFrame:
 
 
 def eval_history(scored: DataFrame) -> DataFrame:
-    """One row per run, with the change of its mean score since the first run: the runs
-    are few, so the comparison reads one reduced row per run."""
+    """One row per run, with the change of its mean score since the first run.  The window
+    runs over one reduced row per run, so no response is scored twice."""
     runs = scored.groupBy("run_id").agg(
         F.min("timestamp").alias("started"),
         F.count("prompt_id").alias("n_prompts"),
@@ -178,5 +175,5 @@ def eval_history(scored: DataFrame) -> DataFrame:
         F.avg("hallucination_score").alias("avg_hallucination"),
         F.avg("latency_seconds").alias("avg_latency"),
     )
-    first = runs.agg(F.min_by("avg_score", F.struct("started", "run_id"))).scalar()
-    return runs.withColumn("change_since_first", F.col("avg_score") - first)
+    in_time = series_window(None, "started", "run_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return runs.withColumn("change_since_first", F.col("avg_score") - F.first("avg_score").over(in_time))

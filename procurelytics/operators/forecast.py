@@ -24,12 +24,17 @@ VALUE = "total_obligations_usd"
 # --- frames -----------------------------------------------------------------------
 def forecast_horizon(history: DataFrame, regressors, *, periods=12, series=None, order="month") -> DataFrame:
     """History plus the next ``periods`` months of each series, with the regressors of its
-    last month carried forward."""
+    last month carried forward.  The newest row of a series becomes its future rows, so
+    the history is read once."""
     keys = as_list(series)
-    last = history.groupBy(*keys).agg(F.max(order).alias("_last"), *[F.max_by(r, order).alias(r) for r in regressors])
-    ahead = F.sequence(F.add_months("_last", 1), F.add_months("_last", periods), F.expr("interval 1 month"))
-    future = last.select(*keys, F.explode(ahead).alias(order), *regressors, F.lit(True).alias("is_forecast"))
-    return history.withColumn("is_forecast", F.lit(False)).unionByName(future, allowMissingColumns=True)
+    newest = F.lead(order).over(series_window(series, order)).isNull()
+    steps = F.when(F.col("_newest"), F.sequence(F.lit(0), F.lit(periods))).otherwise(F.array(F.lit(0)))
+    rows = history.withColumn("_newest", newest).withColumn("_step", F.explode(steps))
+    ahead = F.col("_step") > 0
+    known = {c: F.when(~ahead, F.col(c)) for c in history.columns if c not in {*keys, order, *regressors}}
+    return rows.withColumns({
+        order: F.add_months(order, F.col("_step")), "is_forecast": ahead, **known,
+    }).drop("_newest", "_step")
 
 
 def carry_forward_regressors(frame: DataFrame, history: DataFrame, regressors, *, series=None, order="month") -> DataFrame:
@@ -81,7 +86,8 @@ def monthly_series(df: DataFrame, y=VALUE, regressors=(), *, series=None, order=
 def _spread(rows: DataFrame) -> DataFrame:
     """Series over all shuffle partitions.  Few bytes per series would let Spark merge the
     partitions into a handful of tasks, but the fits cost time, not bytes; an explicit
-    number of partitions is left as it is, and the grouped fit needs no second shuffle."""
+    number of partitions is left as it is.  The windows and the grouped fit that follow
+    use this partitioning and shuffle no more."""
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "series")
 
 
@@ -147,7 +153,7 @@ def forecast_fourier(df: DataFrame, *, series=None, y=VALUE, regressors=(), hori
                      events=True, penalty=1.0) -> DataFrame:
     """Trend, yearly and quarterly season, calendar events and regressors per series;
     fitted months and the next ``horizon`` ones, with an interval from the residuals."""
-    rows = forecast_horizon(monthly_series(df, y, regressors, series=series), list(regressors), periods=horizon, series="series")
+    rows = forecast_horizon(_spread(monthly_series(df, y, regressors, series=series)), list(regressors), periods=horizon, series="series")
     design = design_rows(rows, regressors, yearly=yearly, quarterly=quarterly, events=events)
     z = _z(level)
 
@@ -168,7 +174,7 @@ def forecast_fourier(df: DataFrame, *, series=None, y=VALUE, regressors=(), hori
             "actual_demand_usd": pdf["y"], "is_forecast": pdf["is_forecast"], "model_type": "FOURIER",
         })
 
-    return _spread(design.select("series", "month", "y", "x", "parts", "is_forecast")).groupBy("series").applyInPandas(fit, FOURIER_SCHEMA)
+    return design.select("series", "month", "y", "x", "parts", "is_forecast").groupBy("series").applyInPandas(fit, FOURIER_SCHEMA)
 
 
 CV_SCHEMA = (
@@ -181,7 +187,7 @@ def forecast_cv(df: DataFrame, *, series=None, y=VALUE, regressors=(), initial=7
     """Rolling-origin check of the same model: cutoffs every ``period`` days back from the
     end, each with at least ``initial`` days before it and ``horizon`` days after it.
     No row after a cutoff enters its fit."""
-    design = design_rows(monthly_series(df, y, regressors, series=series), regressors, yearly=yearly, quarterly=quarterly, events=events)
+    design = design_rows(_spread(monthly_series(df, y, regressors, series=series)), regressors, yearly=yearly, quarterly=quarterly, events=events)
     z = _z(level)
 
     def check(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -204,7 +210,7 @@ def forecast_cv(df: DataFrame, *, series=None, y=VALUE, regressors=(), initial=7
         columns = [part.split()[0] for part in CV_SCHEMA.split(", ")]
         return pd.concat(out) if out else pd.DataFrame(columns=columns)
 
-    return _spread(design.select("series", "month", "y", "x")).groupBy("series").applyInPandas(check, CV_SCHEMA)
+    return design.select("series", "month", "y", "x").groupBy("series").applyInPandas(check, CV_SCHEMA)
 
 
 # --- seasonal autoregression -----------------------------------------------------------
@@ -242,7 +248,7 @@ def forecast_ar(df: DataFrame, *, series=None, y=VALUE, exog=(), max_p=3, season
     by AIC; no moving-average terms.  A series too short for a yearly difference is
     fitted undifferenced.  It is fitted on the whole history, and both fitted months and
     the next ``horizon`` months carry an interval."""
-    rows = forecast_horizon(monthly_series(df, y, exog, series=series), list(exog), periods=horizon, series="series")
+    rows = forecast_horizon(_spread(monthly_series(df, y, exog, series=series)), list(exog), periods=horizon, series="series")
     zq, exog = _z(level), list(exog)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -273,4 +279,4 @@ def forecast_ar(df: DataFrame, *, series=None, y=VALUE, exog=(), max_p=3, season
             "actual_demand_usd": pdf["y"], "is_forecast": pdf["is_forecast"], "ar_order": p, "seasonal": bool(lag), "model_type": "SEASONAL_AR",
         }).dropna(subset=["forecast_demand_usd"])
 
-    return _spread(rows).groupBy("series").applyInPandas(fit, AR_SCHEMA)
+    return rows.groupBy("series").applyInPandas(fit, AR_SCHEMA)

@@ -59,10 +59,11 @@ def commodity_enriched(indicators: DataFrame, metadata: DataFrame, *, source: st
 
 
 def commodity_latest(prices: DataFrame, *, category: str | None = None) -> DataFrame:
-    """Prices of the newest month, with the mean pressure of the rows shown and its band."""
+    """Prices of the newest month of a stored table, with the mean pressure of the rows
+    shown (one per series) and its band."""
     wanted = None if category is None else F.upper("category") == category.upper()
     rows = latest_period(prices, "month", wanted)
-    mean = rows.agg(F.avg("cost_pressure_score")).scalar()
+    mean = F.avg("cost_pressure_score").over(series_window(None))
     return rows.withColumn("avg_pressure", mean).withColumn(
         "pressure_level", band(F.col("avg_pressure"), K.PRESSURE_BANDS, "FAVORABLE")
     )

@@ -21,7 +21,8 @@ def series_window(series, *order):
     """Rows of one series in order.  Without a series key the whole input is one
     series; callers give it monthly rows, so it holds one row per month."""
     keys = as_list(series)
-    return Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
+    window = Window.partitionBy(*(keys or [F.lit(0)]))
+    return window.orderBy(*order) if order else window
 
 
 def with_age(df: DataFrame, order="month", series=None, name="age") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from procurelytics.operators.ranking import one_row
+from procurelytics.operators.ranking import series_window
 
 
 def contains(name: str, wanted: str, regex: bool = False) -> Column:
@@ -43,28 +43,28 @@ def search_suppliers(df: DataFrame, *, top_n=15, **filters) -> DataFrame:
 
 def supplier_summary(df: DataFrame, **filters) -> DataFrame:
     """Counts by size and region of the matches, as long rows, with the overall numbers:
-    one grouped pass, then sums over the few cells."""
+    one grouped pass; the overall numbers are sums over its few cells (sizes by regions)."""
     matches = supplier_filter(df, **filters)
     cells = matches.groupBy(
         F.coalesce("company_size", F.lit("UNKNOWN")).alias("company_size"),
         F.coalesce("region_group", F.lit("UNKNOWN")).alias("region_group"),
     ).agg(F.count("*").alias("n"))
+    everything = series_window(None)
+    small = F.when(F.col("company_size").contains("SMALL"), F.col("n")).otherwise(0)
+    cells = cells.withColumns({
+        "_total": F.sum("n").over(everything), "_small": F.sum(small).over(everything),
+        "_regions": F.size(F.collect_set("region_group").over(everything)),
+    })
     long = cells.select(
         F.explode(F.array(
             F.struct(F.lit("size").alias("facet"), F.col("company_size").alias("value")),
             F.struct(F.lit("region").alias("facet"), F.col("region_group").alias("value")),
-        )).alias("f"), "n",
+        )).alias("f"), "n", "_total", "_small", "_regions",
     )
-    counts = long.groupBy("f.facet", "f.value").agg(F.sum("n").alias("suppliers"))
-    small = F.when(F.col("company_size").contains("SMALL"), F.col("n")).otherwise(0)
-    overall = one_row(cells.agg(
-        F.sum("n").alias("total"), F.sum(small).alias("small"),
-        F.count_distinct("region_group").alias("regions"),
-    ))
-    return counts.withColumn("_o", overall).select(
-        "facet", "value", "suppliers", F.col("_o.total").alias("total_matches"),
-        F.try_divide(F.col("_o.small") * 100.0, F.col("_o.total")).alias("small_business_pct"),
-        F.col("_o.regions").alias("region_count"),
+    return long.groupBy("f.facet", "f.value").agg(
+        F.sum("n").alias("suppliers"), F.max("_total").alias("total_matches"),
+        F.try_divide(F.max("_small") * 100.0, F.max("_total")).alias("small_business_pct"),
+        F.max("_regions").alias("region_count"),
     )
 
 
@@ -87,5 +87,5 @@ def search_contracts(df: DataFrame, *, top_n=15, **filters) -> DataFrame:
     matches = contract_filter(df, **filters)
     shown = matches.orderBy(F.col("obligated_amount").desc_nulls_last(), "contract_id").limit(top_n)
     total = matches.agg(F.count("*")).scalar()
-    value = shown.agg(F.sum("obligated_amount")).scalar()
+    value = F.sum("obligated_amount").over(series_window(None))
     return shown.withColumns({"total_matches": total, "value_shown": value})

@@ -30,8 +30,7 @@ def scan_limit(spark, d):
 
 # --- payload pages --------------------------------------------------------------------
 def award_pages(spark, d):
-    """Award rows as landed JSON pages, one page per customer and year, parsed back under
-    the page schema."""
+    """Contract rows as JSON pages of one result each."""
     rows = B.contracts(spark, d)
     result = F.struct(
         F.col("contract_id").cast("string").alias("Award ID"), F.col("vendor_name").alias("Recipient Name"),
@@ -42,8 +41,13 @@ def award_pages(spark, d):
     return rows.select(F.to_json(F.struct(F.array(result).alias("results"))).alias("page"))
 
 
-def parsed(pages, result_schema):
-    return pages.select(F.from_json("page", schemas.page_of(result_schema)).alias("p")).select("p.*")
+def landed(pages, page_schema):
+    """The pages as files of a landing folder, read back under the declared schema; only the
+    fields a query uses are parsed."""
+    spark = pages.sparkSession
+    path = scratch_path(spark, "landed")
+    pages.write.text(path)
+    return spark.read.schema(page_schema).json(path)
 
 
 @query("normalize_awards", sql("contracts", """
@@ -52,7 +56,7 @@ SELECT CAST(contract_id AS VARCHAR) AS award_id_piid, vendor_name AS recipient_n
        obligated_amount / 2 AS total_dollars_obligated, psc_code AS product_or_service_code, CAST(NULL AS VARCHAR) AS naics_code, fiscal_year
 FROM contracts""", ints="fiscal_year", doubles="current_total_value_of_award federal_action_obligation total_dollars_obligated"))
 def normalize_awards(spark, d):
-    out = payloads.normalize_awards(parsed(award_pages(spark, d), schemas.AWARD_RESULT))
+    out = payloads.normalize_awards(landed(award_pages(spark, d), schemas.page_of(schemas.AWARD_RESULT)))
     return shown(out, "award_id_piid", "recipient_name", "action_date", "current_total_value_of_award", "federal_action_obligation",
                  "total_dollars_obligated", "product_or_service_code", "naics_code", "fiscal_year")
 
@@ -63,7 +67,7 @@ SELECT CAST(contract_id AS VARCHAR) AS contract_id, vendor_name, CAST(effective_
        obligated_amount AS base_and_all_options_value, psc_code, CAST(NULL AS VARCHAR) AS vendor_uei, fiscal_year FROM contracts""",
                                   ints="fiscal_year", doubles="obligated_amount base_and_all_options_value"))
 def normalize_contracts(spark, d):
-    out = payloads.normalize_contracts(parsed(award_pages(spark, d), schemas.CONTRACT_RESULT))
+    out = payloads.normalize_contracts(landed(award_pages(spark, d), schemas.page_of(schemas.CONTRACT_RESULT)))
     return shown(out, "contract_id", "vendor_name", "signed_date", "effective_date", "ultimate_completion_date", "obligated_amount",
                  "base_and_all_options_value", "psc_code", "vendor_uei", "fiscal_year")
 
@@ -79,7 +83,7 @@ def normalize_subawards(spark, d):
         F.col("subaward_action_date").cast("string").alias("Sub-Award Date"), F.col("subaward_amount").alias("Sub-Award Amount"),
     )
     pages = rows.select(F.to_json(F.struct(F.array(result).alias("results"))).alias("page"))
-    out = payloads.normalize_subawards(parsed(pages, schemas.SUBAWARD_RESULT))
+    out = payloads.normalize_subawards(landed(pages, schemas.page_of(schemas.SUBAWARD_RESULT)))
     return shown(out, "prime_award_id", "sub_awardee_name", "subaward_action_date", "subaward_amount", "subsystem_category",
                  "subaward_action_date_fiscal_year")
 
@@ -104,8 +108,7 @@ def flatten_entities(spark, d):
     again = F.explode(F.array(F.lit(1), F.lit(2))).alias("page")
     text = s.select("supplier_key", entity.alias("e")).select("e", again).select(
         F.to_json(F.struct(F.lit("336120").alias("naics"), F.col("page"), F.array("e").alias("entityData"))).alias("page_text"))
-    pages = text.select(F.from_json("page_text", schemas.ENTITY_PAGE).alias("p")).select("p.*")
-    return payloads.flatten_entities(pages).select(
+    return payloads.flatten_entities(landed(text, schemas.ENTITY_PAGE)).select(
         "uei", "legal_business_name", "physical_address_state_or_province", "physical_address_country_code", "business_type",
         "naics_code_primary", "subsystem_category", "company_size")
 

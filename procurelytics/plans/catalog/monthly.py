@@ -9,6 +9,7 @@ from procurelytics.operators import inventory, prices, ranking, risk, rollups, s
 from procurelytics.plans import bindings as B
 from procurelytics.plans.catalog import views as V
 from procurelytics.plans.registry import query, shown, sql
+from procurelytics.session import cut_lineage
 from procurelytics.sources import payloads
 
 
@@ -178,7 +179,7 @@ SELECT month, ticker, category, close_price, pct_change_1mo, cost_pressure_score
 FROM prices WHERE month = (SELECT max(month) FROM prices) AND upper(category) = 'INDUSTRIAL_METALS')""",
                                doubles="close_price pct_change_1mo cost_pressure_score avg_pressure"))
 def commodity_latest(spark, d):
-    out = prices.commodity_latest(B.price_table(spark, d), category="industrial_metals")
+    out = prices.commodity_latest(cut_lineage(B.price_table(spark, d)), category="industrial_metals")
     return shown(out, "month", "ticker", "category", "close_price", "pct_change_1mo", "cost_pressure_score", "avg_pressure", "pressure_level")
 
 

@@ -8,6 +8,7 @@ from procurelytics.operators import drivers, insights, ranking, scenario
 from procurelytics.plans import bindings as B
 from procurelytics.plans.catalog import views as V
 from procurelytics.plans.registry import cte, query, shown, sql
+from procurelytics.session import cut_lineage
 from procurelytics.sources.tables import literal_rows
 
 AS_OF = f"DATE '{B.AS_OF}'"
@@ -173,7 +174,7 @@ READY = "least(100, (SELECT days_of_supply_proxy FROM newest_gold) / 60 * 100)"
 ], K.HEALTH_BANDS, "CRITICAL", K.DIMENSION_BANDS, "Critical"), doubles="score overall"))
 def health_scores(spark, d):
     signals = B.stored_signals(spark, d)
-    return shown(insights.health_scores(signals, B.supplier_locations(spark, d), B.price_table(spark, d), B.inventory_gold(signals)))
+    return shown(insights.health_scores(signals, B.supplier_locations(spark, d), cut_lineage(B.price_table(spark, d)), B.inventory_gold(signals)))
 
 
 @query("health_scores_dashboard", sql("demand_scores newest_gold", "SELECT dimension, score, status, overall, overall_status FROM (" + dimensions([

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from procurelytics.session import cut_lineage
+
 LAYERS = ("raw", "bronze", "silver", "gold", "models")
 
 
@@ -16,7 +18,9 @@ def ensure_layers(spark: SparkSession, layers=LAYERS) -> None:
 
 def write_layer(df: DataFrame, path: str, partition_by=()) -> DataFrame:
     """Replace a layer table, schema included, in one action; returns a frame that
-    reads it back."""
+    reads it back.  Rows of one partition are brought together, a large one is split."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.parquet(path)
@@ -72,6 +76,24 @@ def upsert_table(spark: SparkSession, base: str, source: DataFrame, keys) -> Dat
     return spark.read.parquet(version)
 
 
+def upsert_partitions(spark: SparkSession, base: str, source: DataFrame, keys, partition_by: str) -> DataFrame:
+    """Upsert into a table partitioned by ``partition_by``, one of the keys: only the
+    partitions that the source touches are read and rewritten.  The merged partitions are
+    stored in the shared folder first and then replace the old ones; a run that fails in
+    between can be repeated, because the merge is by key."""
+    if partition_by not in keys:
+        raise ValueError(f"{partition_by} is not one of the keys {list(keys)}")
+    try:
+        target = spark.read.parquet(base).select(*source.columns)
+    except AnalysisException:
+        target = source.limit(0)
+    touched = source.select(partition_by).distinct()
+    merged = cut_lineage(upsert(target.join(touched, partition_by, "left_semi"), source, keys))
+    # rebalance: one file or so per partition, but a partition with a large share of the rows is split
+    merged.hint("rebalance", partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(base)
+    return spark.read.parquet(base)
+
+
 def read_upserted(spark: SparkSession, base: str) -> DataFrame:
     """The newest version of a table kept by ``upsert_table``."""
     return spark.read.parquet(_newest(spark, base.rstrip("/"))[1])

@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import os
 
 import pytest
 from pyspark.errors import PySparkException
@@ -116,6 +117,16 @@ def test_upsert_table_keeps_versions(spark, folder):
     assert sorted((r.indicator_code, r.value) for r in layers.read_upserted(spark, folder).collect()) == [("A", 2.0), ("B", 3.0)]
 
 
+def test_upsert_rewrites_only_touched_partitions(spark, folder):
+    base = f"{folder}/t"
+    layers.upsert_partitions(spark, base, indicators(spark, [("A", 1, 1), ("A", 2, 2), ("B", 2, 3)]), schemas.INDICATOR_KEYS, "as_of_date")
+    before = {p: os.path.getmtime(f"{base}/{p}") for p in os.listdir(base) if p.startswith("as_of")}
+    out = layers.upsert_partitions(spark, base, indicators(spark, [("A", 2, 20), ("C", 3, 9)]), schemas.INDICATOR_KEYS, "as_of_date")
+    got = sorted((r.indicator_code, r.as_of_date.month, r.value) for r in out.collect())
+    assert got == [("A", 1, 1.0), ("A", 2, 20.0), ("B", 2, 3.0), ("C", 3, 9.0)]
+    assert os.path.getmtime(f"{base}/as_of_date=2024-01-01") == before["as_of_date=2024-01-01"]
+
+
 def test_landing_merges_incrementally(spark, folder):
     base, landing, mark = (f"{folder}/{n}" for n in ("base", "landing", "mark"))
     for rows in ([("A", 1, 1), ("A", 1, 4)], [("A", 1, 7), ("C", 1, 2)]):
