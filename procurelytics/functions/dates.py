@@ -61,6 +61,11 @@ def parse_index_date(period: Column) -> Column:
     return F.when(text.rlike(pattern), monthly).otherwise(_date_or_year(period)).transform(_strict_date)
 
 
+def parse_plain_period(period: Column) -> Column:
+    """A date (its first ten characters) or a bare year, as JSON index files carry."""
+    return _date_or_year(period).transform(_strict_date)
+
+
 def _strict_date(text: Column) -> Column:
     """DATE from ``YYYY-MM-DD``; a year of five digits is an error in the file, not a date."""
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text).try_cast("date")

@@ -291,6 +291,16 @@ def signals_summary(spark, d):
     return shown(signals.signals_summary(B.demand_signals(spark, d)), digits=2)
 
 
+@query("signals_by_fiscal_year", sql("signals", """
+SELECT fiscal_year, sum(prime_obligations_usd) AS total_obligations, avg(combined_risk_index) AS avg_risk_index FROM signals GROUP BY 1""",
+                                     ints="fiscal_year", doubles="total_obligations avg_risk_index", digits=2))
+def signals_by_fiscal_year(spark, d):
+    out = rollups.group_summary(B.demand_signals(spark, d), "fiscal_year", {
+        "total_obligations": F.sum("prime_obligations_usd"), "avg_risk_index": F.avg("combined_risk_index"),
+    }, order=["fiscal_year"])
+    return shown(out, digits=2)
+
+
 # --- inventory ------------------------------------------------------------------------------
 ROLLED = [f"{name}_{k}mo{tail}" for k in (3, 6, 12) for name, tail in (("demand", "_avg"), ("demand_stddev", ""))]
 

@@ -73,10 +73,17 @@ def main():
 
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
+    parser.add_argument("--plain", action="store_true", help="a session with Spark's own defaults")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     folder = f"{TESTDATA}/sf{args.sf}"
-    spark, con = local_session(8), connect(folder)
+    if args.plain:
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.driver.memory", "8g").getOrCreate()
+    else:
+        spark = local_session(8)
+    con = connect(folder)
     bad = 0
     for name in args.names or list(QUERIES):
         try:

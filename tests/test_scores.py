@@ -63,6 +63,8 @@ def test_period_spellings(spark):
     compact = column(spark, ["202403", "2024", "20245", "bad", None], "string", dates.parse_compact_period)
     assert days(compact) == ["2024-03-01", "2024-01-01", None, None, None]
     index = column(spark, ["2024-3-31", "2024/11", "2024", "202402", "bad"], "string", dates.parse_index_date)
+    plain = column(spark, ["2024-05-06T00:00", "2024", "May", None], "string", dates.parse_plain_period)
+    assert days(plain) == ["2024-05-06", "2024-01-01", None, None]
     assert days(index) == ["2024-03-01", "2024-11-01", "2024-01-01", "2024-02-01", None]
 
 
