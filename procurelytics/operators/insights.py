@@ -222,7 +222,7 @@ def _demand_scores(signals: DataFrame) -> DataFrame:
         clamp(100 - F.try_divide(F.stddev_samp(y6), F.avg(y6)) * 200).alias("stability"),
         clamp(100 - mean_risk * 10).alias("risk"),
         (F.greatest(F.lit(0.0), 100 - variation(y12) * 200) * 0.5 + fit_quality(y12) * 100 * 0.5).alias("reliability"),
-        clamp(100 - variation(y12) * 200).alias("stability_12"),
+        F.when(F.count(y12) > 1, clamp(100 - variation(y12) * 200)).alias("stability_12"),
         clamp(100 - dashboard_risk * 10).alias("risk_3"),
     )
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from procurelytics import constants as K
 from procurelytics.functions import dates
-from procurelytics.operators import features, forecast, forest, intermittent
+from procurelytics.operators import features, forecast, forest, intermittent, rollups
 from procurelytics.plans import bindings as B
 from procurelytics.plans.catalog import views as V
 from procurelytics.plans.registry import cte, query, shown, sql
@@ -86,8 +86,7 @@ EVENT_NAMES = [e[0] for e in K.CALENDAR_EVENTS]
 
 @query("calendar_events", sql("prime_m", f"SELECT month, prime_action_count, {OVERLAP} FROM prime_m", ints=" ".join(["prime_action_count", *EVENT_NAMES])))
 def calendar_events(spark, d):
-    from procurelytics.operators.rollups import prime_monthly
-    rows = prime_monthly(B.award_actions(spark, d))
+    rows = rollups.prime_monthly(B.award_actions(spark, d))
     return shown(rows.select("month", "prime_action_count", *[c.alias(n) for n, c in features.event_flags(F.col("month")).items()]))
 
 

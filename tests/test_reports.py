@@ -72,6 +72,8 @@ def test_health_bounds_and_missing(spark, table):
     assert rows["Supplier Base"].score == 21 and rows["Material Costs"].score == 70 and rows["Readiness"].score == 35
     assert all(0 <= r.score <= 100 for r in rows.values())
     assert rows["Readiness"].overall == pytest.approx(np.mean([r.score for r in rows.values()]))
+    board = {r.dimension: r for r in insights.health_scores_dashboard(table.limit(1), metrics).collect()}
+    assert board["Demand Stability"].score is None and board["Readiness"].score == 50
     gone = {r.dimension: r for r in insights.health_scores(table, suppliers, commodity.limit(0), metrics.limit(0)).collect()}
     assert gone["Readiness"].score is None and gone["Material Costs"].status is None and gone["Readiness"].overall > 0
 

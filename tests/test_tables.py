@@ -180,6 +180,12 @@ def test_pivot_adds_up_and_keeps_null(spark):
     assert [(r.subsystem_x_usd, r.subsystem_null_usd) for r in out] == [(1.0, 2.0), (4.0, None)]
 
 
+def test_sketch_counts_are_close(spark):
+    rows = spark.range(5000).select(F.col("id").alias("award_id_piid"), F.lit("2024-01-05").alias("action_date"), F.lit(1.0).alias("federal_action_obligation"))
+    exact, sketch = (rollups.prime_monthly(rows, approx=a).first().unique_awards for a in (False, True))
+    assert exact == 5000 and abs(sketch - exact) < 500
+
+
 def test_search_is_literal_and_counts_all(spark):
     rows = spark.createDataFrame([(f"L3 (US) {i}", f"u{i}", "WI", "ARMOR", "SMALL", "EUROPE") for i in range(5)] + [("L3 US", "z", "wi", None, None, None)],
                                  "supplier_name string, uei string, state string, subsystem_category string, company_size string, region_group string")
