@@ -35,6 +35,12 @@ def variation(value: Column) -> Column:
     return F.try_divide(F.stddev_pop(value), F.avg(value))
 
 
+def relative_change(value: Column, base: Column) -> Column:
+    """``(value - base) / base``; from a base of 0 any change is infinite."""
+    jump = F.when(value != 0, F.signum(value) * F.lit(float("inf")))
+    return F.when(base == 0, jump).otherwise(F.try_divide(value - base, base))
+
+
 def fit_quality(value: Column) -> Column:
     """R squared of a straight line through the values in time order."""
     return F.regr_r2(value, F.when(value.isNotNull(), -F.col("age").cast("double")))
@@ -132,7 +138,7 @@ def detect_anomalies(signals: DataFrame, *, threshold_pct=20.0, lookback=6, seri
     whole = series_window(series, "month").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     base = F.avg(F.when(F.col("age") > lookback, F.col(VALUE))).over(whole)
     rows = aged.withColumn("baseline", base).where(F.col("age") <= lookback)
-    deviation = F.try_divide(F.col(VALUE) - F.col("baseline"), F.col("baseline")) * 100
+    deviation = relative_change(F.col(VALUE), F.col("baseline")) * 100
     flagged = rows.withColumn("deviation_pct", deviation).where(F.abs("deviation_pct") > threshold_pct)
     return flagged.select(
         *as_list(series), "month", VALUE, "baseline", "deviation_pct",
@@ -173,7 +179,7 @@ def volatility_swings(signals: DataFrame, value=VALUE, order="month", *, lookbac
     all inside the last ``lookback`` months."""
     before = F.lag(value).over(series_window(series, order))
     aged = with_age(signals, order, series).where(F.col("age") <= lookback)
-    moves = aged.withColumn("_move", F.abs(F.try_divide(F.col(value) - before, before)))
+    moves = aged.withColumn("_move", F.abs(relative_change(F.col(value), before)))
     y = F.col(value)
     out = moves.groupBy(*as_list(series)).agg(
         F.stddev_pop(y).alias("std_dev"), variation(y).alias("cv"),

@@ -60,6 +60,9 @@ def test_short_and_zero_series(spark, table):
     one = table.limit(1)
     assert insights.trend_growth(one).first().slope is None
     assert insights.detect_anomalies(one).count() == 0
+    late = table.withColumn("total_obligations_usd", F.when(F.col("month") == "2024-06-01", 5.0).otherwise(0.0))
+    assert [r.severity for r in insights.detect_anomalies(late).collect()] == ["CRITICAL"]
+    assert insights.volatility_swings(late).first().large_swings == 1
     zero = table.withColumn("total_obligations_usd", F.lit(0.0))
     assert insights.forecast_confidence(zero, as_of=F.current_date()).first().cv is None
 
