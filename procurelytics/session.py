@@ -34,15 +34,21 @@ def local_session(cores="*", shuffle_partitions=8, memory="8g", app="procurelyti
     return session
 
 
+# application id -> folder, only for sessions whose cluster names none
+_FALLBACK: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: what the cluster names in
     ``spark.checkpoint.dir``.  Only where that is unset (tests, one machine) a
-    temporary folder is made and kept for the session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="procurelytics-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    temporary folder is made, one per application."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    application = spark.sparkContext.applicationId
+    if application not in _FALLBACK:
+        _FALLBACK[application] = tempfile.mkdtemp(prefix="procurelytics-")
+    return _FALLBACK[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

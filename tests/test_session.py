@@ -1,25 +1,31 @@
 """Where lineage is cut."""
 
+from types import SimpleNamespace
+
 import os
 
 from procurelytics.session import cut_lineage, scratch_path, shared_folder
 
 
-def test_named_folder_is_used(spark, folder):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", folder)
-    try:
-        assert shared_folder(spark) == folder
-        out = cut_lineage(spark.range(10).selectExpr("id", "id * 2 AS v"))
-        assert os.listdir(folder) and out.count() == 10 and out.columns == ["id", "v"]
-        assert "Range" not in out._jdf.queryExecution().executedPlan().toString()
-        assert scratch_path(spark, "x") != scratch_path(spark, "x")
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
-
-
-def test_unset_folder_falls_back_once(spark):
-    assert shared_folder(spark) == shared_folder(spark)
+def session(named):
+    """What ``shared_folder`` reads of a session."""
+    settings = {} if named is None else {"spark.checkpoint.dir": named}
+    return SimpleNamespace(conf=SimpleNamespace(get=settings.get), sparkContext=SimpleNamespace(applicationId=f"app-{named}"))
+
+
+def test_named_folder_is_used():
+    assert shared_folder(session("hdfs:///shared/x")) == "hdfs:///shared/x"
+    first, second = (scratch_path(session("hdfs:///shared/x/"), "t") for _ in range(2))
+    assert first.startswith("hdfs:///shared/x/t-") and first != second
+
+
+def test_unset_folder_falls_back_once():
+    folder = shared_folder(session(None))
+    assert os.path.isdir(folder) and shared_folder(session(None)) == folder
+
+
+def test_cut_reads_stored_rows(spark):
+    out = cut_lineage(spark.range(10).selectExpr("id", "id * 2 AS v"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Range" not in plan and shared_folder(spark).split(":")[-1] in plan
+    assert out.count() == 10 and out.columns == ["id", "v"]
