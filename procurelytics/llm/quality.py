@@ -9,7 +9,7 @@ from procurelytics.llm.common import SPACE, SPACE_CHARS, whole_text
 
 SYMBOLS = r"[#*$%&|<>]+"
 #: Symbols and the separators of menus; a line holding more than MAX_MARK_PERCENT of them fails.
-MARKS = r"[#*$%&|<>»›•·]+"
+MARKS = r"[#*$%&|<>»·]+"
 #: A sentence line ends in one of these.
 TERMINAL = list(".!?…;:\"'”’»)]。！？")
 BOILERPLATE = (
@@ -59,15 +59,14 @@ def measure_lines(df: DataFrame, text: str = "text") -> DataFrame:
     keep = [F.col(f"_in.`{c}`").alias(c) for c in names if c not in added]
     d = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_in"), whole_text(f"`{text}`").alias("_t"))
 
-    d = _computed(d, "_words", F.filter(F.split("_t", SPACE), lambda w: w != ""))
-    d = d.withColumn("_n", F.size("_words"))
+    d = _computed(d, "_words", F.split(F.btrim("_t", F.lit(SPACE_CHARS)), SPACE))
+    d = d.withColumn("_n", F.when(F.get("_words", F.lit(0)) == "", F.lit(0)).otherwise(F.size("_words")))
     # a window is known by its 64-bit hash; most texts repeat none and are done with here
-    d = _computed(d, "_word_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-    d = _computed(d, "_hashes", F.slice(F.transform("_word_hashes", lambda w, i: F.xxhash64(
-        w, *[F.get("_word_hashes", i + k) for k in range(1, WINDOW)])), F.lit(1), F.greatest(F.col("_n") - (WINDOW - 1), F.lit(0))))
-    d = _computed(d, "_sorted", F.when(F.size(F.array_distinct("_hashes")) < F.size("_hashes"), F.array_sort(
-        F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
-    d = _computed(d, "_starts", F.array_sort(F.transform(F.filter("_sorted", lambda x, k: (
+    windows = F.greatest(F.col("_n") - (WINDOW - 1), F.lit(0))
+    hashes = F.slice(F.transform("_words", lambda w, i: F.xxhash64(w, *[F.get("_words", i + k) for k in range(1, WINDOW)])), F.lit(1), windows)
+    d = _computed(d, "_sorted", F.when(F.size(F.array_distinct(hashes)) < windows, F.sort_array(
+        F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    d = _computed(d, "_starts", F.sort_array(F.transform(F.filter("_sorted", lambda x, k: (
         ((k > 0) & (F.get("_sorted", k - 1)["h"] == x["h"])) | F.coalesce(F.get("_sorted", k + 1)["h"] == x["h"], F.lit(False))
     )), lambda x: x["i"])))
     # each start covers up to the next one, at most a window
@@ -79,7 +78,7 @@ def measure_lines(df: DataFrame, text: str = "text") -> DataFrame:
     d = _computed(d, "_trimmed", F.transform("_lines", lambda x: F.btrim(x, F.lit(SPACE_CHARS))))
     d = _computed(d, "_failing", F.transform("_trimmed", _line_fails))
     d = d.withColumn("n_words", F.col("_n").cast("bigint"))
-    d = d.withColumn("word_chars", F.length(F.array_join("_words", "")).cast("bigint"))
+    d = d.withColumn("word_chars", (F.length("_t") - _count(F.col("_t"), SPACE)).cast("bigint"))
     d = d.withColumn("n_symbols", _count(F.col("_t"), SYMBOLS).cast("bigint"))
     d = d.withColumn("n_lines", F.size("_lines").cast("bigint"))
     d = d.withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"))
