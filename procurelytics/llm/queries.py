@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from procurelytics.llm import packing, quality, tokens
+from procurelytics.llm import packing, quality, tokens, trie_bpe
 from procurelytics.llm.common import table
 
 QUERIES = {
     "op4_token_counts": lambda spark, folder: tokens.token_rows(table(spark, folder, "documents")),
     "op7_quality_rules": lambda spark, folder: quality.quality_rows(table(spark, folder, "documents")),
+    "op8_bpe_encoding": lambda spark, folder: trie_bpe.encoding_rows(table(spark, folder, "documents")),
     "op10_packing": lambda spark, folder: packing.packing_rows(table(spark, folder, "documents")),
 }
 ORACLES = {"op7_quality_rules": quality.SQL}

@@ -5,8 +5,8 @@ multiplied into the per-document frequencies; no ids are made."""
 
 from __future__ import annotations
 
-import base64
 import re
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +31,13 @@ _ANY = regex.compile(PATTERN)
 REMEMBERED = 400_000
 
 
-def pre_tokens(text: str) -> list[str]:
-    return (_ANY if _BEYOND.search(text) else _LATIN).findall(text)
+#: Longer texts are cut into pre-tokens step by step.
+LONG = 4_000_000
+
+
+def pre_tokens(text: str):
+    pattern = _ANY if _BEYOND.search(text) else _LATIN
+    return pattern.findall(text) if len(text) <= LONG else (m.group() for m in pattern.finditer(text))
 
 
 def split_special(text: str) -> list[str]:
@@ -73,8 +78,7 @@ def byte_encoder(vocabulary: str = VOCABULARY):
     encoding = _encoding(vocabulary)
     known = _REMEMBERED.setdefault(vocabulary, {})
 
-    def part(text: str) -> bytes:
-        pieces = pre_tokens(text)
+    def some(pieces) -> bytes:
         fresh = set(pieces).difference(known)
         if fresh:
             if len(known) + len(fresh) > REMEMBERED:
@@ -84,6 +88,9 @@ def byte_encoder(vocabulary: str = VOCABULARY):
                 known[piece] = np.array(encoding.encode_ordinary(piece), dtype="<u4").tobytes()
         return b"".join(map(known.__getitem__, pieces))
 
+    def part(text: str) -> bytes:
+        return b"".join(map(some, batched(pre_tokens(text), 200_000)))
+
     def encode(text: str) -> np.ndarray:
         end = END_OF_TEXT_ID.to_bytes(4, "little")
         return np.frombuffer(end.join(map(part, split_special(text))), dtype="<u4")
