@@ -41,9 +41,9 @@ def learn_dictionaries(docs: DataFrame, docs_per_language: int = SAMPLE_DOCS, si
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
     chosen = labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).withColumn("r", F.row_number().over(order)).where(F.col("r") <= docs_per_language)
     share = size // docs_per_language
+    ids = sorted({r["doc_id"] for r in chosen.select("doc_id").collect()})  # at most docs_per_language per language
     # at most docs_per_language * share characters per language reach the driver
-    parts = labelled.join(chosen.select("lang", "doc_id").distinct(), ["lang", "doc_id"], "left_semi").select(
-        "lang", "doc_id", F.substring("text", 1, share).alias("part"))
+    parts = labelled.where(F.col("doc_id").isin(ids)).groupBy("lang", "doc_id").agg(F.min(F.substring("text", 1, share)).alias("part"))
     texts: dict[str, list] = {}
     for row in parts.collect():
         texts.setdefault(row["lang"], []).append((row["doc_id"], letters(row["part"]).encode("utf-8")[:share]))

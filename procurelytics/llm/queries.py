@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from procurelytics.llm import language, packing, quality, tokens, trie_bpe
+from procurelytics.llm import language, packing, quality, tokens, trie_bpe, warc
 from procurelytics.llm.common import table
 
 QUERIES = {
     "op4_token_counts": lambda spark, folder: tokens.token_rows(table(spark, folder, "documents")),
     "op7_quality_rules": lambda spark, folder: quality.quality_rows(table(spark, folder, "documents")),
+    "op6_warc": lambda spark, folder: warc.warc_rows(table(spark, folder, "pages")),
     "op8_bpe_encoding": lambda spark, folder: trie_bpe.encoding_rows(table(spark, folder, "documents")),
     "op9_language_id": lambda spark, folder: language.language_rows(table(spark, folder, "documents")),
     "op10_packing": lambda spark, folder: packing.packing_rows(table(spark, folder, "documents")),
 }
-ORACLES = {"op7_quality_rules": quality.SQL}
+ORACLES = {"op6_warc": warc.SQL, "op7_quality_rules": quality.SQL}
