@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from procurelytics.llm import language, packing, quality, tokens, trie_bpe, warc
+from procurelytics.llm import language, packing, quality, tokens, trie_bpe, voronoi, warc
 from procurelytics.llm.common import table
 
 QUERIES = {
+    "op1_exact_search": lambda spark, folder: voronoi.search_rows(table(spark, folder, "embeddings")),
     "op4_token_counts": lambda spark, folder: tokens.token_rows(table(spark, folder, "documents")),
     "op7_quality_rules": lambda spark, folder: quality.quality_rows(table(spark, folder, "documents")),
     "op6_warc": lambda spark, folder: warc.warc_rows(table(spark, folder, "pages")),
@@ -13,4 +14,4 @@ QUERIES = {
     "op9_language_id": lambda spark, folder: language.language_rows(table(spark, folder, "documents")),
     "op10_packing": lambda spark, folder: packing.packing_rows(table(spark, folder, "documents")),
 }
-ORACLES = {"op6_warc": warc.SQL, "op7_quality_rules": quality.SQL}
+ORACLES = {"op1_exact_search": voronoi.SQL, "op6_warc": warc.SQL, "op7_quality_rules": quality.SQL}
