@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from procurelytics.llm import language, packing, quality, tokens, trie_bpe, voronoi, warc
+from procurelytics.llm import language, near_dup, packing, quality, tokens, trie_bpe, voronoi, warc
 from procurelytics.llm.common import table
 
 QUERIES = {
     "op1_exact_search": lambda spark, folder: voronoi.search_rows(table(spark, folder, "embeddings")),
     "op4_token_counts": lambda spark, folder: tokens.token_rows(table(spark, folder, "documents")),
     "op7_quality_rules": lambda spark, folder: quality.quality_rows(table(spark, folder, "documents")),
+    "op5_near_dup": lambda spark, folder: near_dup.near_dup_rows(table(spark, folder, "documents")),
     "op6_warc": lambda spark, folder: warc.warc_rows(table(spark, folder, "pages")),
     "op8_bpe_encoding": lambda spark, folder: trie_bpe.encoding_rows(table(spark, folder, "documents")),
     "op9_language_id": lambda spark, folder: language.language_rows(table(spark, folder, "documents")),
