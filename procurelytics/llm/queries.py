@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from procurelytics.llm import language, near_dup, packing, quality, suffix_dedup, tokens, trie_bpe, voronoi, warc
+from procurelytics.llm import language, near_dup, packing, quality, suffix_dedup, tokens, trie_bpe, voronoi, warc, wrapper
 from procurelytics.llm.common import table
 
 QUERIES = {
     "op1_exact_search": lambda spark, folder: voronoi.search_rows(table(spark, folder, "embeddings")),
+    "op2_html_extraction": lambda spark, folder: wrapper.page_rows(table(spark, folder, "pages")),
     "op3_suffix_dedup": lambda spark, folder: suffix_dedup.repeat_rows(table(spark, folder, "documents")),
     "op4_token_counts": lambda spark, folder: tokens.token_rows(table(spark, folder, "documents")),
     "op7_quality_rules": lambda spark, folder: quality.quality_rows(table(spark, folder, "documents")),
