@@ -272,5 +272,7 @@ def near_dup_rows(docs: DataFrame) -> DataFrame:
 def keep_one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the near copies of a document with a smaller id.  Rows without doc_id have
     no group and stay; of rows that repeat a doc_id all stay or go together."""
-    gone = near_components(docs.select("doc_id", "text"), shingle, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+    gone = cut_lineage(near_components(docs.select("doc_id", "text"), shingle, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")))
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
     return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
