@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from procurelytics import constants as K
@@ -43,15 +43,27 @@ def trade_signal(trade: DataFrame) -> DataFrame:
     )
 
 
-def unified_demand_signals(spine: DataFrame, *, prime=None, sub=None, sub_pivot=None, geo=None, trade=None,
+def _on_own_months(sides) -> DataFrame:
+    """One row per month from the least to the greatest month of any side, with the columns of all:
+    each side is read once, its monthly rows are stacked, merged by month, and gaps are filled by
+    rows of NULL.  The window runs over months."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [s.where("month is not null") for s in sides])
+    values = [c for c in stacked.columns if c != "month"]
+    merged = stacked.groupBy("month").agg(*[F.max(c).alias(c) for c in values])
+    until = F.coalesce(F.add_months(F.lead("month").over(Window.orderBy("month")), -1), F.col("month"))
+    rows = merged.withColumn("_until", until).withColumn("_m", F.explode(F.sequence("month", "_until", F.expr("interval 1 month"))))
+    return rows.select(F.col("_m").alias("month"), *[F.when(F.col("_m") == F.col("month"), F.col(c)).alias(c) for c in values])
+
+
+def unified_demand_signals(spine: DataFrame | None = None, *, prime=None, sub=None, sub_pivot=None, geo=None, trade=None,
                            commodity=None, weather=None, weights=None) -> DataFrame:
-    """Left join of all monthly signals to the spine, zero fill, then totals, ratio, risk
-    and fiscal columns.  Every side has at most one row per month; any may be absent
+    """All monthly signals side by side, zero fill, then totals, ratio, risk and fiscal columns.
+    With ``spine`` its months count, else all from the least to the greatest month of any side.  Every side has at most one row per month; any may be absent
     and then counts as zero.  ``sub_pivot`` may also come inside ``sub``."""
     weights = K.COMBINED_RISK_WEIGHTS if weights is None else weights
     given = {"prime": prime, "sub": sub, "geo": geo, "trade": trade, "commodity": commodity, "weather": weather}
     sides = [f for f in [*given.values(), sub_pivot] if f is not None]
-    wide = reduce(lambda left, right: left.join(right, "month", "left"), sides, spine)
+    wide = _on_own_months(sides) if spine is None else reduce(lambda left, right: left.join(right, "month", "left"), sides, spine)
     absent = {
         name: F.lit(0).cast(kind)
         for key, columns in SIGNAL_COLUMNS.items() if given[key] is None

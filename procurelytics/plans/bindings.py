@@ -11,14 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from procurelytics import constants as K
 from procurelytics.functions.bands import choose, lookup
-from procurelytics.functions.dates import as_date, fiscal_year, month_of, month_spine
+from procurelytics.functions.dates import as_date, fiscal_year, month_of
 from procurelytics.operators import inventory, prices, risk, rollups, signals, weather
 from procurelytics.session import cut_lineage
 from procurelytics.sources import payloads
 from procurelytics.sources.schemas import TEST_TABLES
 from procurelytics.sources.tables import literal_rows, read_parquet as _read_parquet
 
-SERIES_START = "1995-01-01"
 AS_OF = "2001-08-01"
 WEATHER_START = "1999-03-01"
 EVENTS_START = "2024-01-01"
@@ -218,7 +217,6 @@ def country_payloads(spark: SparkSession, d: str) -> DataFrame:
 # --- monthly tables --------------------------------------------------------------------
 def demand_signals(spark: SparkSession, d: str, with_pivot=False) -> DataFrame:
     return signals.unified_demand_signals(
-        month_spine(spark, SERIES_START, AS_OF),
         prime=rollups.prime_monthly(award_actions(spark, d)),
         sub=rollups.subaward_monthly(
             subawards(spark, d, category=with_pivot).withColumn("sub_awardee_name", F.col("sub_awardee_key"))

@@ -268,14 +268,14 @@ def unified_demand_signals(spark, d):
     return shown(B.demand_signals(spark, d))
 
 
-@query("fill_zero", sql("spine comm_m weather_m", """
+@query("fill_zero", sql("comm_m weather_m", f"""
 SELECT s.month, coalesce(commodity_cost_pressure, 0) AS commodity_cost_pressure, coalesce(weather_disruption_index, 0) AS weather_disruption_index,
-       coalesce(total_storm_events, 0) AS total_storm_events FROM spine s LEFT JOIN comm_m ON comm_m.month = s.month LEFT JOIN weather_m ON weather_m.month = s.month""",
+       coalesce(total_storm_events, 0) AS total_storm_events FROM ({V.months_of('comm_m', 'weather_m')}) s LEFT JOIN comm_m ON comm_m.month = s.month LEFT JOIN weather_m ON weather_m.month = s.month""",
                         ints="total_storm_events", doubles="commodity_cost_pressure weather_disruption_index"))
 def fill_zero(spark, d):
-    spine = dates.month_spine(spark, B.SERIES_START, B.AS_OF)
-    wide = spine.join(rollups.commodity_pressure_monthly(B.price_table(spark, d)), "month", "left").join(
-        rollups.weather_monthly(B.weather_table(spark, d)), "month", "left")
+    price, wet = rollups.commodity_pressure_monthly(B.price_table(spark, d)), rollups.weather_monthly(B.weather_table(spark, d))
+    spine = dates.month_spine_of(price.select("month").unionByName(wet.select("month")), "month")
+    wide = spine.join(price, "month", "left").join(wet, "month", "left")
     return shown(signals.fill_zero(wide.select("month", "commodity_cost_pressure", "weather_disruption_index", "total_storm_events")))
 
 

@@ -2,8 +2,8 @@
 
 from procurelytics import constants as K
 from procurelytics.plans.bindings import (
-    ACTUAL_TOOLS, AS_OF, CATEGORIES, DIFFICULTIES, EVENTS_START, EXPECTED_TOOLS, NOTICE_PHRASES, NOTICE_TYPES,
-    PART_TYPES, PRICE_METADATA, REGION_NAMES, SEGMENT_CODES, SERIES_START, SPECIALS, SUBSYSTEMS, WEATHER_START,
+    ACTUAL_TOOLS, CATEGORIES, DIFFICULTIES, EVENTS_START, EXPECTED_TOOLS, NOTICE_PHRASES, NOTICE_TYPES,
+    PART_TYPES, PRICE_METADATA, REGION_NAMES, SEGMENT_CODES, SPECIALS, SUBSYSTEMS, WEATHER_START,
 )
 from procurelytics.plans.registry import cte
 
@@ -182,9 +182,13 @@ SELECT CAST(date_trunc('month', subaward_action_date) AS DATE) AS month, sum(sub
        {', '.join(f"sum(subaward_amount) FILTER (WHERE subsystem_category = '{t}') AS subsystem_{t.lower()}_usd" for t in PART_TYPES)}
 FROM subawards GROUP BY 1
 """)
-cte("spine", "", f"""
-SELECT CAST(unnest(generate_series(DATE '{SERIES_START}', DATE '{AS_OF}', INTERVAL 1 MONTH)) AS DATE) AS month
-""")
+def months_of(*sources) -> str:
+    """Every month from the least to the greatest of the given tables."""
+    rows = " UNION ALL ".join(f"SELECT month FROM {s}" for s in sources)
+    return f"SELECT CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM ({rows})"
+
+
+cte("spine", "prime_m sub_m geo_m trade_index comm_m weather_m", months_of("prime_m", "sub_m", "geo_m", "trade_index", "comm_m", "weather_m"))
 cte("signals0", "spine prime_m sub_m geo_m trade_index comm_m weather_m", """
 SELECT spine.month, coalesce(prime_obligations_usd, 0) AS prime_obligations_usd, coalesce(prime_action_count, 0) AS prime_action_count,
        coalesce(unique_awards, 0) AS unique_awards, coalesce(avg_obligation_per_action, 0) AS avg_obligation_per_action,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -40,14 +43,19 @@ _FALLBACK: dict[str, str] = {}
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: what the cluster names in
-    ``spark.checkpoint.dir``.  Only where that is unset (tests, one machine) a
-    temporary folder is made, one per application."""
+    ``spark.checkpoint.dir``.  Where that is unset and all runs in one process, a temporary
+    folder is made, one per application and gone with it; on a cluster, where executors would
+    write to their own disks, it is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
     application = spark.sparkContext.applicationId
     if application not in _FALLBACK:
         _FALLBACK[application] = tempfile.mkdtemp(prefix="procurelytics-")
+        atexit.register(shutil.rmtree, _FALLBACK[application], ignore_errors=True)
     return _FALLBACK[application]
 
 
@@ -58,8 +66,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def cut_lineage(df):
     """Materialise ``df`` reliably (it survives the loss of executors) and return
-    a frame that reads the stored rows."""
+    a frame that reads the stored rows.  The rows are deleted when the driver's JVM ends."""
     spark = df.sparkSession
     path = scratch_path(spark, "cut")
     df.write.parquet(path)
+    _file_system(spark, path, "deleteOnExit")
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str, call: str, *args) -> None:
+    """One call of the file system that holds ``path``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    getattr(folder.getFileSystem(spark._jsc.hadoopConfiguration()), call)(folder, *args)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there, wherever its file system lies."""
+    _file_system(spark, path, "delete", True)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from procurelytics.session import cut_lineage
+from procurelytics.session import cut_lineage, delete_folder
+from procurelytics.sources.tables import is_missing
 
 LAYERS = ("raw", "bronze", "silver", "gold", "models")
 
@@ -47,7 +48,7 @@ def with_audit(df: DataFrame, source: str) -> DataFrame:
 
 def upsert(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     """Rows of ``source`` replace those of ``target`` with the same keys; all others
-    stay or are added.  NULL keys match each other.  Two source rows with one key
+    stay or are added.  A column that only one side has is NULL in the rows of the other.  NULL keys match each other.  Two source rows with one key
     are an error, raised inside the job that writes the result.
 
     Each side is reduced by key on the map side before one shuffle: a target key
@@ -55,16 +56,16 @@ def upsert(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     counted = source.groupBy(*keys).agg(F.count("*").alias("_n"), F.first(F.struct(*source.columns)).alias("_row"))
     message = F.concat(F.lit("upsert: several source rows for key "), F.to_json(F.struct(*keys)))
     single = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    fresh = counted.where(single).select("_row.*").select(*target.columns)
+    fresh = counted.where(single).select("_row.*")
     gone = source.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
     same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    return target.join(gone, same, "left_anti").unionByName(fresh)
+    return target.join(gone, same, "left_anti").unionByName(fresh, allowMissingColumns=True)
 
 
-def upsert_table(spark: SparkSession, base: str, source: DataFrame, keys) -> DataFrame:
+def upsert_table(spark: SparkSession, base: str, source: DataFrame, keys, keep: int = 2) -> DataFrame:
     """Upsert into a versioned folder (one writer at a time).  The new version is
     written beside the old one and the version log gets its line last, so a failed
-    job leaves the table as it was."""
+    job leaves the table as it was.  The newest ``keep`` versions stay; older ones are deleted."""
     base = base.rstrip("/")
     number, current = _newest(spark, base)
     target = source.limit(0) if current is None else spark.read.parquet(current)
@@ -73,6 +74,8 @@ def upsert_table(spark: SparkSession, base: str, source: DataFrame, keys) -> Dat
     spark.createDataFrame([(f"{number + 1:09d} {version}",)], "line string").coalesce(1).write.mode("append").text(
         f"{base}/_log"
     )
+    if number + 1 - keep > 0:
+        delete_folder(spark, f"{base}/v{number + 1 - keep:09d}")
     return spark.read.parquet(version)
 
 
@@ -83,15 +86,26 @@ def upsert_partitions(spark: SparkSession, base: str, source: DataFrame, keys, p
     between can be repeated, because the merge is by key."""
     if partition_by not in keys:
         raise ValueError(f"{partition_by} is not one of the keys {list(keys)}")
-    try:
-        target = spark.read.parquet(base).select(*source.columns)
-    except AnalysisException:
+    target = _stored(spark, base)
+    if target is None:
         target = source.limit(0)
-    touched = source.select(partition_by).distinct()
-    merged = cut_lineage(upsert(target.join(touched, partition_by, "left_semi"), source, keys))
+    else:  # a partition value is read back under the type its text suggests
+        target = target.withColumn(partition_by, F.col(partition_by).cast(source.schema[partition_by].dataType))
+    touched = source.select(F.col(partition_by).alias("_touched")).distinct()
+    merged = cut_lineage(upsert(target.join(touched, F.col(partition_by).eqNullSafe(F.col("_touched")), "left_semi"), source, keys))
     # rebalance: one file or so per partition, but a partition with a large share of the rows is split
     merged.hint("rebalance", partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(base)
-    return spark.read.parquet(base)
+    return _stored(spark, base)
+
+
+def _stored(spark: SparkSession, base: str) -> DataFrame | None:
+    """A table whose parts may differ in columns; None where there is none yet."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(base)
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        return None
 
 
 def read_upserted(spark: SparkSession, base: str) -> DataFrame:
@@ -102,7 +116,9 @@ def read_upserted(spark: SparkSession, base: str) -> DataFrame:
 def _newest(spark: SparkSession, base: str):
     try:
         line = spark.read.text(f"{base}/_log").agg(F.max("value").alias("line")).first()["line"]
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         return 0, None
     number, path = line.split(" ", 1)
     return int(number), path

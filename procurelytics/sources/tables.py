@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 
+def is_missing(error: AnalysisException) -> bool:
+    """Whether a read failed because the table or folder does not exist.  All else (no access, a
+    damaged file, an unknown column) is an error that must not pass for an empty table."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "SCHEMA_NOT_FOUND")
+
+
 def read_parquet(spark: SparkSession, folder: str, name: str, schema=None) -> DataFrame:
     """A parquet table of a folder; with a declared schema no job looks at the files first."""
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -19,8 +25,8 @@ def load(spark: SparkSession, name: str, schema: T.StructType | None = None, fol
     schema the error is passed on."""
     try:
         return read_parquet(spark, folder, name) if folder else spark.table(name)
-    except AnalysisException:
-        if schema is None:
+    except AnalysisException as error:
+        if schema is None or not is_missing(error):
             raise
         return spark.createDataFrame([], schema)
 

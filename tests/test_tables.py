@@ -216,3 +216,31 @@ def test_flow_with_missing_sources(spark, folder):
 
 def test_spine_bounds(spark):
     assert dates.month_spine(spark, "2010-01-15", "2010-12-31").count() == 12
+
+
+def test_partition_upsert_loses_nothing(spark, folder):
+    base, keys = f"{folder}/t", ["k", "p"]
+    make = lambda rows, schema: spark.createDataFrame(rows, schema)
+    layers.upsert_partitions(spark, base, make([("a", "1", 1.0), ("b", "1", 2.0), ("c", "2", 3.0), ("n", None, 4.0)], "k string, p string, v double"), keys, "p")
+    # a new column, and a NULL partition value
+    layers.upsert_partitions(spark, base, make([("a", "1", 10.0, "x"), ("m", None, 5.0, "y")], "k string, p string, v double, extra string"), keys, "p")
+    # a column that the source lacks
+    out = layers.upsert_partitions(spark, base, make([("b", "1", 20.0)], "k string, p string, v double"), keys, "p")
+    rows = {(r["k"], r["p"] if r["p"] is None else str(r["p"])): (r["v"], r["extra"]) for r in out.collect()}
+    assert rows == {("a", "1"): (10.0, "x"), ("b", "1"): (20.0, None), ("c", "2"): (3.0, None), ("n", None): (4.0, None), ("m", None): (5.0, "y")}
+
+
+def test_unreadable_table_is_no_missing_table(spark, folder):
+    os.makedirs(f"{folder}/bad.parquet")
+    with open(f"{folder}/bad.parquet/part-0.parquet", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        tables.load(spark, "bad", spark.range(0).schema, folder).collect()
+
+
+def test_old_versions_are_deleted(spark, folder):
+    base = f"{folder}/v"
+    for i in range(4):
+        layers.upsert_table(spark, base, spark.createDataFrame([(i, i)], "k int, v int"), ["k"])
+    assert sorted(n for n in os.listdir(base) if n.startswith("v")) == ["v000000003", "v000000004"]
+    assert layers.read_upserted(spark, base).count() == 4
