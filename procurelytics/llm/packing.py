@@ -13,9 +13,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from procurelytics.llm.common import bounded_batches, whole_text
-from procurelytics.llm.tokens import END_OF_TEXT_ID, byte_encoder
+from procurelytics.llm.tokens import byte_encoder
 
 CAPACITY = 1024
+#: What ends every document.
+END_ID = 0
 #: Remainders that are packed together; more leave less padding at the end of a block.
 BLOCK = 8192
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
@@ -99,7 +101,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> DataF
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(encode(text.as_py()), np.uint32(END_OF_TEXT_ID))
+                ids = np.append(encode(text.as_py()), np.uint32(END_ID))
                 for start in range(0, len(ids), capacity):
                     part = ids[start : start + capacity]
                     row = (doc, start, len(part), part.astype("<u4").tobytes(), len(ids))
