@@ -220,14 +220,18 @@ AR_SCHEMA = (
 )
 
 
-def _ar_fit(z, exog, p, skip):
-    """AR(p) with exogenous terms on rows ``skip`` and later, so that all orders are
-    compared on the same rows."""
-    lags = [z[skip - k: len(z) - k] for k in range(1, p + 1)]
-    x = np.column_stack([np.ones(len(z) - skip), *lags, exog[skip:]])
-    coef = np.linalg.lstsq(x, z[skip:], rcond=None)[0]
-    rss = float(((z[skip:] - x @ coef) ** 2).sum())
-    n = len(z) - skip
+def _ar_fit(z, exog, p, first, known):
+    """AR(p) with exogenous terms on the known months from ``first`` on, so that all orders are
+    compared on the same months.  A small penalty on all but the level lets short histories carry
+    every exogenous term."""
+    at = np.flatnonzero(known & (np.arange(len(z)) >= first))
+    x = np.column_stack([np.ones(len(z)), *[np.concatenate([np.zeros(k), z[: len(z) - k]]) for k in range(1, p + 1)], exog])
+    scale = np.where(x[at].std(axis=0) > 1e-9, x[at].std(axis=0), 1.0)
+    penalty = np.diag(np.r_[0.0, np.full(x.shape[1] - 1, 1e-2)] + 1e-9)
+    w = x[at] / scale
+    coef = np.linalg.solve(w.T @ w + penalty, w.T @ z[at]) / scale
+    rss = float(((z[at] - x[at] @ coef) ** 2).sum())
+    n = len(at)
     aic = n * math.log(max(rss / n, 1e-12)) + 2 * (x.shape[1] + 1)
     return aic, coef, math.sqrt(rss / max(n - x.shape[1], 1)), x @ coef
 
@@ -245,38 +249,52 @@ def _ar_spread(coef, p, steps, season):
 
 def forecast_ar(df: DataFrame, *, series=None, y=VALUE, exog=(), max_p=3, season=12, horizon=12, level=0.95) -> DataFrame:
     """Autoregression of the yearly difference with exogenous terms, order 0 to ``max_p``
-    by AIC; no moving-average terms.  A series too short for a yearly difference is
-    fitted undifferenced.  It is fitted on the whole history, and both fitted months and
-    the next ``horizon`` months carry an interval."""
+    by AIC; no moving-average terms.  Differences and lags go by month: a month without demand is a
+    gap, which no fit uses as a target and lags read as the year before plus the mean growth.  A
+    series without a year of yearly differences is fitted undifferenced (``seasonal`` says so).
+    Every month of the history has a row, with a NULL forecast where its lags begin before the
+    series; fitted months and the next ``horizon`` months carry an interval."""
     rows = forecast_horizon(_spread(monthly_series(df, y, exog, series=series)), list(exog), periods=horizon, series="series")
     zq, exog = _z(level), list(exog)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("month").reset_index(drop=True)
-        known = int((~pdf["is_forecast"]).sum())
-        target = np.log1p(pdf["y"].to_numpy(float)[:known])
-        e = pdf[exog].fillna(0.0).to_numpy(float) if exog else np.zeros((len(pdf), 0))
-        lag = season if known >= 2 * season + max_p + len(exog) + 2 else 0
-        z = target[lag:] - target[:-lag] if lag else target
-        ez = (e[lag:] - e[:-lag]) if lag else e
-        top = min(max_p, max(len(z) // 4, 0))
-        if len(z) - top <= top + len(exog) + 2:
-            top, ez = 0, ez[:, :0]
-        best = min(((*_ar_fit(z, ez[: len(z)], p, top), p) for p in range(top + 1)), key=lambda c: c[0])
+        months = pd.to_datetime(pdf["month"])
+        t = (months.dt.year * 12 + months.dt.month).to_numpy()
+        t, past = t - t[0], ~pdf["is_forecast"].to_numpy(bool)
+        n, end = t[past][-1] + 1, t[-1] + 1
+        target, e = np.full(n, np.nan), np.zeros((end, len(exog)))
+        target[t[past]] = np.log1p(pdf["y"].to_numpy(float)[past])
+        given = np.zeros(end, bool)
+        if exog:
+            e[t] = pdf[exog].fillna(0.0).to_numpy(float)
+            given[t] = True
+        seen = np.isfinite(target)
+        yearly = target[season:] - target[:-season] if n > season else np.empty(0)
+        lag = season if np.isfinite(yearly).sum() >= season else 0
+        whole, growth = target.copy(), float(np.nanmean(yearly)) if lag else 0.0
+        for i in np.flatnonzero(~seen):
+            whole[i] = whole[i - lag] + growth if lag and i >= lag else np.interp(i, np.flatnonzero(seen), target[seen])
+        z = whole[lag:] - whole[: n - lag] if lag else whole
+        ez = np.where((given[lag:] & given[: end - lag])[:, None], e[lag:] - e[: end - lag], 0.0) if lag else e
+        known = seen[lag:] & seen[: n - lag] if lag else seen
+        top = min(max_p, max(int(known.sum()) // 4, 0))
+        while top and not (known & (np.arange(len(z)) >= top)).sum() > 2 * top + 2:
+            top -= 1
+        best = min(((*_ar_fit(z, ez[: len(z)], p, top, known), p) for p in range(top + 1)), key=lambda c: c[0])
         _, coef, sd, fitted, p = best
-        steps, path, levels = len(pdf) - known, list(z), list(target)
-        for h in range(steps):
+        path, levels = list(z), list(whole)
+        for h in range(end - n):
             value = coef[0] + sum(coef[1 + k] * path[-1 - k] for k in range(p)) + float(ez[len(z) + h] @ coef[1 + p:])
             path.append(value)
-            levels.append(value + (levels[known + h - lag] if lag else 0.0))
-        inside = np.full(known, np.nan)
-        inside[lag + top:] = fitted + (target[top:-lag] if lag else 0.0)
-        hat = np.concatenate([inside, np.array(levels[known:])])
-        spread = np.concatenate([np.full(known, sd), sd * _ar_spread(coef, p, steps, lag)])
+            levels.append(value + (levels[n + h - lag] if lag else 0.0))
+        hat = np.concatenate([np.full(lag + top, np.nan), fitted[top:] + (whole[top : n - lag] if lag else 0.0), levels[n:]])
+        spread = np.concatenate([np.full(n, sd), sd * _ar_spread(coef, p, end - n, lag)])
+        hat, spread = hat[t], spread[t]
         return pd.DataFrame({
             "series": pdf["series"], "month": pdf["month"], "forecast_demand_usd": np.expm1(hat),
             "forecast_lower": np.expm1(hat - zq * spread), "forecast_upper": np.expm1(hat + zq * spread),
             "actual_demand_usd": pdf["y"], "is_forecast": pdf["is_forecast"], "ar_order": p, "seasonal": bool(lag), "model_type": "SEASONAL_AR",
-        }).dropna(subset=["forecast_demand_usd"])
+        })
 
     return rows.groupBy("series").applyInPandas(fit, AR_SCHEMA)

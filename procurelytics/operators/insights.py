@@ -200,19 +200,25 @@ def risk_correlations(signals: DataFrame, *, lookback=12, series=None,
     return valid.withColumn("strength", band(F.abs("correlation"), K.CORRELATION_BANDS, "Weak"))
 
 
-def macro_context(indicators: DataFrame, *, codes=None, tail=5) -> DataFrame:
-    """Per indicator: newest value and date, pressure level, and whether the newest of the
-    last three values lies above the first of them.  ``codes`` limits the indicators."""
+def macro_context(indicators: DataFrame, *, codes=None, tail=5, pressure_codes=("GSCPI",)) -> DataFrame:
+    """Per indicator and country: newest value and date, the last ``tail`` values (newest first),
+    whether the newest of the last three lies above the first of them, and the pressure level for
+    the indicators that are pressure indices (NULL for others).  ``codes`` limits the indicators."""
+    keys = ["indicator_code", "country_code"]
+    if "country_code" not in indicators.columns:
+        indicators = indicators.withColumn("country_code", F.lit(""))
     rows = indicators if codes is None else indicators.where(F.col("indicator_code").isin(list(codes)))
-    aged = with_age(rows, "as_of_date", "indicator_code").where(F.col("age") <= tail)
-    out = aged.groupBy("indicator_code").agg(
+    aged = with_age(rows, "as_of_date", keys).where(F.col("age") <= tail)
+    out = aged.groupBy(*keys).agg(
         at_age("value").alias("latest_value"), at_age("as_of_date").alias("latest_date"),
         F.max(F.when(F.col("age") == 3, F.col("value"))).alias("_third"),
         F.count("*").alias("values_shown"),
+        F.transform(F.sort_array(F.collect_list(F.struct("age", "value"))), lambda x: x["value"]).alias("last_values"),
     )
     rising = F.when(F.col("latest_value") > F.col("_third"), "INCREASING").otherwise("DECREASING")
+    pressure = F.col("indicator_code").isin(list(pressure_codes))
     return out.withColumns({
-        "level": band(F.col("latest_value"), K.GSCPI_BANDS, "LOW"),
+        "level": F.when(pressure, band(F.col("latest_value"), K.GSCPI_BANDS, "LOW")),
         "trend_3": F.when(F.col("values_shown") >= 3, rising),
     }).drop("_third")
 

@@ -286,6 +286,15 @@ def pressure_index(spark: SparkSession, d: str) -> DataFrame:
     return monthly.select(F.lit("GSCPI").alias("indicator_code"), "as_of_date", (F.col("v") / 100000 - 2.5).alias("value"))
 
 
+def macro_indicators(spark: SparkSession, d: str) -> DataFrame:
+    """The pressure index, and mean order values per country of the customer, by month."""
+    orders, customers = read_parquet(spark, d, "orders"), read_parquet(spark, d, "customer")
+    by_country = orders.join(customers, orders.o_custkey == customers.c_custkey).groupBy(
+        F.col("c_nationkey").cast("string").alias("country_code"), month_of(F.col("o_orderdate")).alias("as_of_date"),
+    ).agg(F.avg("o_totalprice").alias("value")).select(F.lit("ORDERS").alias("indicator_code"), "country_code", "as_of_date", "value")
+    return by_country.unionByName(pressure_index(spark, d).withColumn("country_code", F.lit("")))
+
+
 def feature_importance(spark: SparkSession, d: str) -> DataFrame:
     """Importance per feature name; two names are unknown to the label table."""
     names = [*K.FEATURE_LABELS, "vendor_count_x", "award_rate"]

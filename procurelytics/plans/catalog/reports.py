@@ -111,14 +111,20 @@ def risk_correlations(spark, d):
     return shown(insights.risk_correlations(B.demand_signals(spark, d)))
 
 
-@query("macro_context", sql("price_ind", f"""
-SELECT *, {V.bands('latest_value', K.GSCPI_BANDS, 'LOW')} AS level FROM (
-SELECT indicator_code, max(CASE WHEN age = 1 THEN value END) AS latest_value, max(CASE WHEN age = 1 THEN as_of_date END) AS latest_date,
-       count(*) AS values_shown, CASE WHEN max(CASE WHEN age = 1 THEN value END) > max(CASE WHEN age = 3 THEN value END) THEN 'INCREASING' ELSE 'DECREASING' END AS trend_3
-FROM (SELECT *, row_number() OVER (PARTITION BY indicator_code ORDER BY as_of_date DESC) AS age FROM price_ind) WHERE age <= 5 GROUP BY 1)""",
-                            ints="values_shown", doubles="latest_value"))
+@query("macro_context", sql("", f"""
+SELECT *, CASE WHEN indicator_code = 'GSCPI' THEN {V.bands('latest_value', K.GSCPI_BANDS, 'LOW')} END AS level FROM (
+SELECT indicator_code, country_code, max(CASE WHEN age = 1 THEN value END) AS latest_value, max(CASE WHEN age = 1 THEN as_of_date END) AS latest_date, count(*) AS values_shown,
+       round(sum(value * (10 - age)) + 1e-7, 1) AS weighted,
+       CASE WHEN count(*) >= 3 THEN CASE WHEN max(CASE WHEN age = 1 THEN value END) > max(CASE WHEN age = 3 THEN value END) THEN 'INCREASING' ELSE 'DECREASING' END END AS trend_3
+FROM (SELECT *, row_number() OVER (PARTITION BY indicator_code, country_code ORDER BY as_of_date DESC) AS age FROM (
+  SELECT 'ORDERS' AS indicator_code, CAST(c_nationkey AS VARCHAR) AS country_code, CAST(date_trunc('month', o_orderdate) AS DATE) AS as_of_date, avg(o_totalprice) AS value
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3
+  UNION ALL SELECT 'GSCPI', '', CAST(date_trunc('month', o_orderdate) AS DATE), avg(o_totalprice) / 100000 - 2.5 FROM orders GROUP BY 3)) WHERE age <= 5 GROUP BY 1, 2)""",
+                            ints="values_shown", doubles="latest_value weighted", latest_value=2, weighted=1))
 def macro_context(spark, d):
-    return shown(insights.macro_context(B.price_indicators(spark, d)))
+    out = insights.macro_context(B.macro_indicators(spark, d))
+    weighted = F.aggregate(F.transform("last_values", lambda v, i: v * (9 - i)), F.lit(0.0), lambda a, x: a + x)
+    return shown(out.withColumn("weighted", F.round(weighted + 1e-7, 1)).drop("last_values"), latest_value=2, weighted=1)
 
 
 @query("latest_per_indicator", sql("price_ind", """

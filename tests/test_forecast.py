@@ -142,3 +142,16 @@ def test_croston_by_hand(spark):
     assert (out.demand_months, out.demand_size, out.demand_interval) == (3, size, gap)
     assert out.croston_forecast == pytest.approx(size / gap) and out.sba_forecast == pytest.approx(size / gap * 0.75)
     assert math.isfinite(out.sba_forecast)
+
+
+def test_ar_goes_by_month_and_keeps_all_rows(spark):
+    rng = np.random.default_rng(7)
+    months = pd.date_range("2015-01-01", periods=96, freq="MS")
+    value = np.exp(10 + 0.3 * np.sin(2 * np.pi * np.arange(108) / 12))
+    noisy = value[:96] * np.exp(rng.normal(0, 0.02, 96))
+    gaps = {86, 89, 92}
+    data = [("g", m.date(), float(v)) for i, (m, v) in enumerate(zip(months, noisy)) if i not in gaps]
+    out = forecast.forecast_ar(spark.createDataFrame(data, "series string, month date, total_obligations_usd double"), series="series").orderBy("month").toPandas()
+    assert len(out) == 93 + 12 and out["forecast_demand_usd"].isna().sum() >= 12
+    ahead = out[out["is_forecast"]]["forecast_demand_usd"].to_numpy()
+    assert np.abs(ahead / value[96:] - 1).mean() < 0.05
