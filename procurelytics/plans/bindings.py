@@ -13,6 +13,7 @@ from procurelytics import constants as K
 from procurelytics.functions.bands import choose, lookup
 from procurelytics.functions.dates import as_date, fiscal_year, month_of
 from procurelytics.operators import inventory, prices, risk, rollups, signals, weather
+from procurelytics.operators.series import series_spine
 from procurelytics.session import cut_lineage
 from procurelytics.sources import payloads
 from procurelytics.sources.schemas import TEST_TABLES
@@ -248,6 +249,7 @@ def vendor_demand(spark: SparkSession, d: str) -> DataFrame:
     monthly = awards.groupBy(F.col("l_suppkey").alias("series"), month_of(F.col("action_date")).alias("month")).agg(
         F.sum("federal_action_obligation").alias("total_obligations_usd"), F.count("*").alias("actions"),
     )
+    monthly = series_spine(monthly, series="series", zero=("total_obligations_usd", "actions"))
     return monthly.withColumns({
         "combined_risk_index": F.pmod("series", F.lit(60)).cast("double"),
         "risk_level": F.lit("MODERATE"),
@@ -260,11 +262,12 @@ def type_demand(spark: SparkSession, d: str) -> DataFrame:
     """Monthly spend per part type with two exogenous columns."""
     lines = read_parquet(spark, d, "lineitem").join(
         read_parquet(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return lines.groupBy(F.col("p_type").alias("series"), month_of(F.col("l_shipdate")).alias("month")).agg(
+    monthly = lines.groupBy(F.col("p_type").alias("series"), month_of(F.col("l_shipdate")).alias("month")).agg(
         F.sum("l_extendedprice").alias("total_obligations_usd"),
         (F.avg("l_discount") * 100).alias("tariff_risk_index"),
         (F.avg("l_tax") * 100).alias("geo_risk_index"),
     )
+    return series_spine(monthly, series="series", zero=("total_obligations_usd", "tariff_risk_index", "geo_risk_index"))
 
 
 def forecasts(signal_table: DataFrame) -> dict:

@@ -279,6 +279,11 @@ def fill_zero(spark, d):
     return shown(signals.fill_zero(wide.select("month", "commodity_cost_pressure", "weather_disruption_index", "total_storm_events")))
 
 
+@query("series_spine", sql("vendor_demand", "SELECT series, month, total_obligations_usd, actions FROM vendor_demand", ints="actions", doubles="total_obligations_usd", digits=2))
+def series_spine(spark, d):
+    return shown(B.vendor_demand(spark, d), "series", "month", "total_obligations_usd", "actions", digits=2)
+
+
 @query("signals_summary", sql("signals", """
 SELECT count(*) AS total_months, min(month) AS first_month, max(month) AS last_month, sum(prime_obligations_usd) AS total_prime_obligations,
        sum(subaward_obligations_usd) AS total_subaward_obligations, avg(prime_obligations_usd) AS avg_monthly_prime,

@@ -266,18 +266,28 @@ FROM {source})"""
 cte("demand_stats", "signals", stats("signals", "total_obligations_usd"))
 cte("stock", "demand_stats", metrics("demand_stats"))
 cte("gold", "stock", stock_risk("stock"))
-cte("vendor_demand", "award_actions", """
+def dense(source, zeros) -> str:
+    """Every month of each series, 0 where it has no row."""
+    return f"""
+SELECT g.series, g.month, {', '.join(f'coalesce(s.{c}, 0) AS {c}' for c in zeros)}
+FROM (SELECT series, CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM {source} GROUP BY series) g
+LEFT JOIN {source} s ON s.series = g.series AND s.month = g.month"""
+
+
+cte("vendor_rows", "award_actions", """
 SELECT l_suppkey AS series, CAST(date_trunc('month', action_date) AS DATE) AS month, sum(federal_action_obligation) AS total_obligations_usd,
-       count(*) AS actions, CAST(l_suppkey % 60 AS DOUBLE) AS combined_risk_index FROM award_actions GROUP BY 1, 2
+       count(*) AS actions FROM award_actions GROUP BY 1, 2
 """)
+cte("vendor_demand", "vendor_rows", f"SELECT *, CAST(series % 60 AS DOUBLE) AS combined_risk_index FROM ({dense('vendor_rows', ['total_obligations_usd', 'actions'])})")
 cte("vendor_stats", "vendor_demand", stats("vendor_demand", "total_obligations_usd", "series"))
 cte("vendor_stock", "vendor_stats", metrics("vendor_stats"))
 cte("vendor_gold", "vendor_stock", stock_risk("vendor_stock"))
-cte("type_demand", "", """
+cte("type_rows", "", """
 SELECT p_type AS series, CAST(date_trunc('month', l_shipdate) AS DATE) AS month, sum(l_extendedprice) AS total_obligations_usd,
        avg(l_discount) * 100 AS tariff_risk_index, avg(l_tax) * 100 AS geo_risk_index
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2
 """)
+cte("type_demand", "type_rows", dense("type_rows", ["total_obligations_usd", "tariff_risk_index", "geo_risk_index"]))
 cte("forecasts", "signals", """
 SELECT model, model_type, CAST(month + INTERVAL 12 MONTH AS DATE) AS month, total_obligations_usd * f AS forecast_demand_usd,
        total_obligations_usd * f * 0.85 AS forecast_lower, total_obligations_usd * f * 1.15 AS forecast_upper

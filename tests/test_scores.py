@@ -204,3 +204,15 @@ def test_stock_formulas(spark):
     assert first.risk_adjusted_safety_stock == 0 and second.risk_adjusted_ro == pytest.approx(1500 + 1.65 * sd * 2)
     assert third.days_of_supply_proxy == 0 and third.nmcs_risk_indicator == "HIGH_RISK"
     assert first.nmcs_risk_indicator == "ELEVATED_RISK" and second.nmcs_risk_indicator == "NORMAL"
+
+
+def test_windows_go_by_month_on_a_sparse_series(spark):
+    from procurelytics.operators import inventory
+    from procurelytics.operators.series import series_spine
+
+    rows = spark.createDataFrame([("s", "2024-01-01", 10.0), ("s", "2024-06-01", 40.0), ("s", "2024-12-01", 70.0), ("t", "2024-03-01", 5.0)], "series string, m string, total_obligations_usd double")
+    dense = series_spine(rows.select("series", F.to_date("m").alias("month"), "total_obligations_usd"), series="series", zero=["total_obligations_usd"])
+    assert dense.count() == 13
+    out = inventory.rolling_demand_stats(dense.withColumn("combined_risk_index", F.lit(1.0)), series="series")
+    last = out.where("series = 's'").orderBy(F.desc("month")).first()
+    assert round(last["demand_3mo_avg"], 1) == 23.3
