@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from procurelytics.operators.features import TARGET, demand_features, feature_columns, season_columns, temporal_split
 from procurelytics.operators.ranking import as_list, series_window
-from procurelytics.session import cut_lineage, scratch_path
+from procurelytics.session import cut_lineage
 from procurelytics.sources.tables import literal_rows
 
 VECTOR = "features"
@@ -48,30 +48,28 @@ def rf_importance(spark: SparkSession, model: RandomForestRegressionModel, names
     return literal_rows(spark, rows, ["feature", "importance", "model_type", "rank"])
 
 
-def leaf_values(spark: SparkSession, model: RandomForestRegressionModel) -> DataFrame:
-    """tree, leaf, value: the prediction of every leaf, read from the stored model.  Nodes
-    are numbered parent first and left before right, and so are leaves."""
-    path = scratch_path(spark, "forest")
-    model.write().save(path)
-    node = F.col("nodeData")
-    leaves = spark.read.parquet(f"{path}/data").where(node["leftChild"] < 0)
-    position = F.row_number().over(Window.partitionBy("treeID").orderBy(node["id"])) - 1
-    return leaves.select(F.col("treeID").alias("tree"), position.alias("leaf"), node["prediction"].alias("value"))
-
-
-def rf_intervals(model: RandomForestRegressionModel, df: DataFrame, names, keys, *, level=0.95) -> DataFrame:
-    """Forecast with the lower and upper percentile of the single trees' predictions."""
-    spark = df.sparkSession
-    chosen = model.copy()
-    chosen.setLeafCol("_leaf")
-    rows = chosen.transform(assemble(df, names)).drop(VECTOR)
-    votes = rows.select(*keys, F.posexplode(vector_to_array("_leaf")).alias("tree", "leaf")).withColumn("leaf", F.col("leaf").cast("int"))
+def _percentile(ordered: Column, share: float) -> Column:
+    """The interpolated percentile of a sorted array."""
+    place = (F.size(ordered) - 1) * F.lit(share)
+    low = F.floor(place).cast("int")
+    below, above = F.get(ordered, low), F.coalesce(F.get(ordered, low + 1), F.get(ordered, low))
+    return below + (above - below) * (place - low)
+
+
+def rf_intervals(model: RandomForestRegressionModel, df: DataFrame, names, *, level=0.95) -> DataFrame:
+    """Forecast with the lower and upper percentile of the single trees' predictions.  Every tree
+    predicts inside the row, so nothing is shuffled and a popular leaf is no hot key."""
+    rows, single = model.transform(assemble(df, names)), []
+    for i, tree in enumerate(model.trees):
+        single.append(f"_tree_{i}")
+        rows = tree.setFeaturesCol(VECTOR).setPredictionCol(single[-1]).transform(rows)
+    kept = [c for c in rows.columns if c not in {VECTOR, *single}]
+    rows = rows.select(*kept, F.explode(F.array(F.sort_array(F.array(*single)))).alias("_votes"))
     tail = (1 - level) / 2
-    bounds = votes.join(leaf_values(spark, model), ["tree", "leaf"]).groupBy(*keys).agg(
-        F.percentile("value", tail).alias("forecast_lower"), F.percentile("value", 1 - tail).alias("forecast_upper"),
-        F.avg("value").alias("tree_mean"),
-    )
-    return rows.drop("_leaf").join(bounds, list(keys))
+    return rows.withColumns({
+        "forecast_lower": _percentile(F.col("_votes"), tail), "forecast_upper": _percentile(F.col("_votes"), 1 - tail),
+        "tree_mean": _mean(F.col("_votes")),
+    }).drop("_votes")
 
 
 def permutation_importance(model: RandomForestRegressionModel, df: DataFrame, names, *, series=None, target=TARGET, seed=7) -> DataFrame:
@@ -135,7 +133,8 @@ def forecast_rf_recursive(model: RandomForestRegressionModel, history: DataFrame
     """The next ``months`` months, each predicted from the values before it, predicted ones
     included, with the features of the month itself.  A series is one row holding its
     last twelve values, so a step shuffles nothing; its result is written to the shared
-    folder, which keeps the plan short and survives lost executors.  Other columns stay
+    folder, which keeps the plan short and survives lost executors.  A series of less than twelve
+    months is led by its mean.  Other columns stay
     at their last value; the interval is plus and minus ``margin``."""
     keys = as_list(series)
     made = {"month_of_year", "quarter", "is_q4", "month_sin", "month_cos"}
@@ -147,7 +146,7 @@ def forecast_rf_recursive(model: RandomForestRegressionModel, history: DataFrame
     state = recent.groupBy(*keys).agg(
         F.max("month").alias("_last"), F.min("_start").alias("_start"), ordered.alias("_ys"),
         *[F.max_by(c, "month").alias(c) for c in carried],
-    ).where(F.size("_ys") == 12).withColumn("_out", F.array().cast("array<struct<month:date,y:double>>"))
+    ).withColumn("_ys", F.concat(F.array_repeat(_mean(F.col("_ys")), 12 - F.size("_ys")), F.col("_ys"))).withColumn("_out", F.array().cast("array<struct<month:date,y:double>>"))
     base = [*keys, "_last", "_start", *carried]
     for step in range(1, months + 1):
         month = F.add_months("_last", step)

@@ -163,7 +163,7 @@ def forecast_ar(spark, d):
 
 def _forest(spark, d):
     rows, names = forest.prepare(B.type_demand(spark, d), series="series")
-    return rows, names, forest.fit_rf(rows.where(F.col("split") == "TRAIN"), names, trees=50, depth=10)
+    return rows, names, forest.fit_rf(rows.where(F.col("split") == "TRAIN"), names)
 
 
 @query("forecast_rf")
@@ -182,7 +182,7 @@ def forecast_rf_recursive(spark, d):
 @query("rf_intervals")
 def rf_intervals(spark, d):
     rows, names, model = _forest(spark, d)
-    out = forest.rf_intervals(model, rows.where(F.col("split") == "TEST"), names, ["series", "month"])
+    out = forest.rf_intervals(model, rows.where(F.col("split") == "TEST"), names)
     return shown(out, "series", "month", F.col(Y).alias("actual_demand_usd"), "forecast_demand_usd", "forecast_lower", "forecast_upper", "tree_mean")
 
 

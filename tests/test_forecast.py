@@ -107,7 +107,7 @@ def fitted(rows):
 
 def test_forest_intervals_come_from_its_trees(fitted):
     data, names, model = fitted
-    out = forest.rf_intervals(model, data.where("split = 'TEST'"), names, ["series", "month"]).toPandas()
+    out = forest.rf_intervals(model, data.where("split = 'TEST'"), names).toPandas()
     assert len(out) == 24
     np.testing.assert_allclose(out["tree_mean"], out["forecast_demand_usd"], rtol=1e-9)
     assert (out["forecast_lower"] <= out["forecast_demand_usd"]).all() and (out["forecast_upper"] >= out["forecast_demand_usd"]).all()

@@ -6,8 +6,6 @@ import oracle
 from procurelytics.plans.catalog import ORACLES, QUERIES
 
 FOLDER = f"{oracle.TESTDATA}/sf0.001"
-SLOW = {"forecast_rf", "forecast_rf_recursive", "rf_intervals", "rf_importance", "permutation_importance"}
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -20,7 +18,7 @@ def test_query_matches_sql(spark, con, name):
     assert problem is None
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES and n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES])
 def test_query_gives_rows(spark, name):
     df = QUERIES[name](spark, FOLDER)
     assert df.count() > 0
@@ -32,3 +30,8 @@ def test_entry(spark):
 
     assert e.entry(spark).count() >= 80
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_importances_sum_to_one(spark):
+    total = QUERIES["rf_importance"](spark, FOLDER).agg({"importance": "sum"}).first()[0]
+    assert abs(total - 1) < 0.01
