@@ -255,9 +255,13 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             place.append(np.array(here, np.int64))
         texts, least, anchor = list(runs), np.array(least, np.int64), np.array(anchor, np.int64)
         sizes = np.array([len(t) - LENGTH + 1 for t in texts], np.int64)
-        order, smallest = np.argsort(anchor, kind="stable"), [np.empty(0, np.int64)] * len(texts)
+        # a run alone with its anchor has no equal windows in others: its least document counts throughout
+        smallest, lowest = [None] * len(texts), least.copy()
+        _, group, members = np.unique(anchor, return_inverse=True, return_counts=True)
+        order = np.flatnonzero(members[group] > 1)
+        order = order[np.argsort(anchor[order], kind="stable")]
         # equal windows share the anchor, so runs are sorted a few anchors at a time
-        last = np.flatnonzero(np.append(anchor[order][1:] != anchor[order][:-1], True)) + 1
+        last = np.flatnonzero(np.append(anchor[order][1:] != anchor[order][:-1], True)) + 1 if len(order) else order
         filled, a = np.cumsum(sizes[order]), 0
         while a < len(order):
             b = int(last[max(np.searchsorted(filled[last - 1], (filled[a - 1] if a else 0) + SORTED_WINDOWS, side="right") - 1, np.searchsorted(last, a, side="right"))])
@@ -265,9 +269,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             views = np.concatenate([np.lib.stride_tricks.sliding_window_view(np.frombuffer(texts[k], np.uint8), LENGTH) for k in part])
             found = np.split(_least_documents(views, np.repeat(least[part], sizes[part])), np.cumsum(sizes[part])[:-1])
             for k, f in zip(part.tolist(), found):
-                smallest[k] = f
+                smallest[k], lowest[k] = f, f.min()
             a = b
-        lowest = np.array([f.min() for f in smallest], np.int64)
         out = []
         for number, here, blob in zip(table.column("chunk").to_pylist(), place, table.column("holders")):
             held = np.frombuffer(blob.as_py(), "<i8").reshape(-1, 3)
