@@ -6,6 +6,8 @@ multiplied into the per-document frequencies; no ids are made."""
 from __future__ import annotations
 
 import re
+from array import array
+from collections import Counter
 from itertools import batched
 
 import numpy as np
@@ -28,7 +30,7 @@ _LATIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_
 _BEYOND = re.compile("[^\x00-ɏ]")
 _ANY = regex.compile(PATTERN)
 #: Pre-tokens a worker remembers; the memory is emptied when full, results do not depend on it.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
 
 #: Longer texts are cut into pre-tokens step by step.
@@ -85,7 +87,7 @@ def byte_encoder(vocabulary: str = VOCABULARY):
                 known.clear()
                 fresh = set(pieces)
             for piece in fresh:
-                known[piece] = np.array(encoding.encode_ordinary(piece), dtype="<u4").tobytes()
+                known[piece] = array("I", encoding.encode_ordinary(piece)).tobytes()
         return b"".join(map(known.__getitem__, pieces))
 
     def part(text: str) -> bytes:
@@ -127,9 +129,7 @@ def _frequencies(batches):
         tokens, blobs = [b""], [np.array([[-1 if i is None else i, i is None, s] for i, s in zip(ids, sizes)], "<i8").tobytes()]
         for token, flat in postings.items():
             tokens.append(token.encode("utf-8"))
-            flat = np.array(flat, dtype=np.int64)
-            docs, n = np.unique(flat, return_counts=True) if len(flat) > 1 else (flat, np.ones(1, np.int64))
-            blobs.append(_pairs(docs, n))
+            blobs.append(array("I", flat).tobytes())
             if len(tokens) == 20_000:
                 yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.binary()), pa.array([chunk] * len(tokens), pa.int64()), pa.array(blobs, pa.binary())], names=["token", "chunk", "postings"])
                 tokens, blobs = [], []
@@ -143,15 +143,19 @@ def _frequencies(batches):
             sizes.append(len(text.encode("utf-8")))
             chars += len(text)
             parts = split_special(text)
-            if len(parts) > 1:
-                postings.setdefault(END_OF_TEXT, []).extend([at] * (len(parts) - 1))
+            counts = Counter()
             for part in parts:
-                for token in pre_tokens(part):
-                    known = postings.get(token)
-                    if known is None:
-                        postings[token] = [at]
-                    else:
-                        known.append(at)
+                counts.update(pre_tokens(part))
+            if len(parts) > 1:
+                counts[END_OF_TEXT] += len(parts) - 1
+            for token, n in counts.items():
+                known = postings.get(token)
+                if known is None:
+                    known = postings[token] = []
+                while n > 65535:  # a pair holds 16 bits of each number
+                    known.append(at | 65535 << 16)
+                    n -= 65535
+                known.append(at | n << 16)
             if chars >= CHUNK_CHARS or len(ids) >= CHUNK_DOCS:
                 yield from rows()
                 number += 1
