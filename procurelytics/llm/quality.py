@@ -97,10 +97,12 @@ def quality_rows(df: DataFrame) -> DataFrame:
 
 
 def clean_documents(df: DataFrame) -> DataFrame:
-    """Documents that the rules keep, with the failing lines removed and n_chars set to match."""
-    out = measure_lines(df.withColumnRenamed("clean_text", "_clean_text") if "clean_text" in df.columns else df)
+    """Documents that the rules keep, with the failing lines removed and n_chars set to match; other
+    columns are as they were, whatever their names."""
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), "text")
     replaced = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("bigint")}
-    return out.where("kept").select(*[replaced[c].alias(c) if c in replaced else F.col(f"`{c}`") for c in df.columns if c in replaced or c in out.columns])
+    out = measure_lines(rows).where("kept")
+    return out.select(*[replaced.get(c, F.col(f"_row.`{c}`")).alias(c) for c in df.columns])
 
 
 _ENDS = ", ".join("'" + c.replace("'", "''") + "'" for c in TERMINAL)

@@ -69,7 +69,7 @@ def test_language_on_odd_rows(spark):
     df = spark.createDataFrame(rows + odd, SCHEMA)
     got = [(r["doc_id"], r["lang_pred"]) for r in language.language_rows(df).collect()]
     assert len(got) == 46 and set(got) >= {(100, "und"), (101, "und"), (102, "und"), (103, "aa"), (None, "bb")} and all(p == rows[i][2] for i, p in got if i is not None and i < 40)
-    assert {r[1] for r in language.language_rows(spark.createDataFrame(odd, SCHEMA).where("lang is null")).collect()} == {"und"}
+    assert {r["lang_pred"] for r in language.language_rows(spark.createDataFrame(odd, SCHEMA).where("lang is null")).collect()} == {"und"}
     assert language.language_rows(spark.createDataFrame([], SCHEMA)).count() == 0
     own = language.keep_identified(df.withColumnRenamed("kept", "score"))
     assert own.columns == ["doc_id", "text", "lang", "score", "n_chars"] and own.count() == 43
