@@ -97,8 +97,3 @@ def group_summary(df: DataFrame, by, measures: dict, order=(), limit: int | None
     if order:
         out = out.orderBy(*order)
     return out if limit is None else out.limit(limit)
-
-
-def summarize(df: DataFrame, measures: dict) -> DataFrame:
-    """One row of measures over the whole frame."""
-    return df.agg(*[m.alias(name) for name, m in measures.items()])

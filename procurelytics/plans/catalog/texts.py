@@ -113,6 +113,23 @@ def eval_summary(spark, d):
     return shown(evaluate.eval_summary(evaluate.eval_composite(B.evaluation_log(spark, d))))
 
 
+@query("failed_prompts", sql("eval_scored", """
+SELECT run_id, prompt_id, category, difficulty, prompt, overall_score, tool_accuracy, hallucination_score, n_flags
+FROM eval_scored WHERE NOT passed""", ints="n_flags", doubles="overall_score tool_accuracy hallucination_score"))
+def failed_prompts(spark, d):
+    out = evaluate.failed_prompts(evaluate.eval_composite(B.evaluation_log(spark, d)))
+    return shown(out.withColumn("n_flags", F.size("hallucination_flags")).drop("hallucination_flags"))
+
+
+@query("eval_scope", sql("eval_scored", """
+SELECT prompt_id, difficulty, category, overall_score, passed FROM eval_scored WHERE difficulty = 'hard'
+UNION ALL SELECT prompt_id, difficulty, category, overall_score, passed FROM eval_scored WHERE category = 'multi-tool'""", doubles="overall_score"))
+def eval_scope(spark, d):
+    """The two kinds of scope: a difficulty, and a category by its slug."""
+    log, columns = B.evaluation_log(spark, d), ["prompt_id", "difficulty", "category", "overall_score", "passed"]
+    return shown(evaluate.eval_composite(log, scope="hard").select(columns).unionByName(evaluate.eval_composite(log, scope="Multi Tool").select(columns)))
+
+
 @query("eval_history", sql("eval_scored", """
 SELECT *, avg_score - first_value(avg_score) OVER (ORDER BY started, run_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS change_since_first FROM (
 SELECT run_id, min(ts) AS started, count(*) AS n_prompts, avg(CASE WHEN passed THEN 1.0 ELSE 0.0 END) AS pass_rate, avg(overall_score) AS avg_score,
