@@ -26,7 +26,6 @@ REGISTERS = ROWS * BANDS
 #: The estimate may lie this far under the threshold before a pair is dropped unverified (about seven
 #: standard deviations of the estimate at the threshold).
 ESTIMATE_SLACK = 0.18
-STAR_ROUNDS = 2
 #: Most ids that are broadcast to pick texts (8 bytes each).
 BROADCAST_IDS = 2_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -207,6 +206,26 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+def _sharing_rare(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a > b) of different components that share one of their rarest shingles.  Sets of n
+    shingles and a similarity of ``percent`` share one among the first n - ceil(n * percent / 100) + 1
+    of any common order; the order is by frequency among these sets.  Per shingle the members of its
+    largest component are not paired among themselves, the others are paired with all."""
+    each = sets.select("doc_id", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    counted = each.join(each.groupBy("s").agg(F.count("*").alias("f")), "s")
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
+    rare = counted.groupBy("doc_id", "component", "n").agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("all"))
+    rows = cut_lineage(rare.select("doc_id", "component", "n", F.inline(F.slice("all", F.lit(1), first))).where("f > 1").drop("f"))
+    sizes = rows.groupBy("s", "component").agg(F.count("*").alias("m"))
+    largest = sizes.groupBy("s").agg(F.max_by("component", F.struct("m", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+    mixed = rows.join(largest, "s")
+    outside = mixed.where("component <> largest").select("s", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
+    others = mixed.select("s", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), "largest")
+    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    pairs = outside.join(others, "s").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("largest")) | (F.col("a") < F.col("b"))) & near)
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
+
 def near_components(docs: DataFrame, shingle: int = 2, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id): documents linked where 100 * shared >= percent * union of
     their shingle sets, directly or over others; component_id is the least doc_id reachable.
@@ -216,10 +235,12 @@ def near_components(docs: DataFrame, shingle: int = 2, percent: int = 80) -> Dat
     of which the least set counts; rows without doc_id are left out; other columns are not read; an
     empty table gives no rows.
 
-    A bucket is first linked to one member each round (a star, not all pairs).  Then only members of
-    different components are compared: those outside the bucket's largest component with all others.
-    So a large group of near copies costs its size, and every pair that shares a bucket and is not
-    yet in one component is compared."""
+    Every bucket is first linked to one member, the one that meets most others over all its buckets:
+    a star, not all pairs, and the origin of a group of copies is its centre.  The documents of
+    buckets that still hold several components are then compared through the rarest shingles of
+    their sets: sets of the similarity asked for share one of these, which copies that were changed
+    in different places do not.  No pair of a bucket that could be linked is left out, and a large
+    group costs its size."""
     spark = docs.sparkSession
     bounded_batches(spark)
     base = cut_lineage(sketches(shingle_sets(docs.where("doc_id is not null").select("doc_id", "text"), shingle)))
@@ -229,37 +250,32 @@ def near_components(docs: DataFrame, shingle: int = 2, percent: int = 80) -> Dat
     chosen = base.join(classes.select(F.col("rep").alias("doc_id"), F.col("k").alias("of")), "doc_id").where(F.col("k") == F.col("of"))
     sketched = cut_lineage(chosen.groupBy("doc_id").agg(F.first("k.n").alias("n"), F.first("registers").alias("registers")))
     buckets = band_keys(sketched)
-    shared = cut_lineage(buckets.join(buckets.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket"), "bucket"))
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        likely = cut_lineage(_likely(pairs.distinct(), sketched, percent))
-        # ids whose texts are read again: broadcast behind a check of their number, else joined by shuffle
-        ends = cut_lineage(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-        if ends.count() <= BROADCAST_IDS:
-            ends = F.broadcast(ends)
-        texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ends, "doc_id", "left_semi")
+    shared = cut_lineage(buckets.join(buckets.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1"), "bucket"))
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """The full sets of some documents; their ids are broadcast behind a check of their number,
+        else joined by shuffle."""
+        ids = cut_lineage(ids.distinct())
+        if ids.count() <= BROADCAST_IDS:
+            ids = F.broadcast(ids)
+        texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
         least = F.struct(F.size("shingles"), F.xxhash64("shingles"), F.hash("shingles"), F.get("shingles", F.lit(0)))
-        few = cut_lineage(shingle_sets(texts, shingle).groupBy("doc_id").agg(F.min_by("shingles", least).alias("shingles")))
-        return cut_lineage(_confirmed(likely, few, percent))
-
-    links, found = None, None
-    for step in range(STAR_ROUNDS):
-        members = shared if found is None else shared.join(found, "doc_id")
-        centre = members.groupBy("bucket").agg(F.min_by("doc_id", F.struct(F.xxhash64("doc_id", F.lit(step)), "doc_id")).alias("b"))
-        pairs = members.join(centre, "bucket").where("doc_id <> b")
-        if found is not None:
-            pairs = pairs.join(found.select(F.col("doc_id").alias("b"), F.col("component").alias("other")), "b").where("component <> other")
-        pairs = pairs.select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b"))
-        new = linked(pairs)
-        links = new if links is None else cut_lineage(links.unionByName(new))
-        found = cut_lineage(components(reps, links))
-    members = shared.join(found, "doc_id")
-    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("m"))
-    largest = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("m", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    mixed = cut_lineage(members.join(largest, "bucket"))
-    outside = mixed.where("component <> largest").select("bucket", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-    pairs = outside.join(mixed.select("bucket", F.col("doc_id").alias("b"), F.col("component").alias("cb"), "largest"), "bucket").where("ca <> cb and (cb = largest or a < b)")
-    links = links.unionByName(linked(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))))
+        return cut_lineage(shingle_sets(texts, shingle).groupBy("doc_id").agg(F.min_by("shingles", least).alias("shingles")))
+
+    degree = shared.groupBy("doc_id").agg(F.sum("m").alias("met"))
+    ranked = shared.select("bucket", "doc_id").join(degree, "doc_id")
+    centre = ranked.groupBy("bucket").agg(F.max_by("doc_id", F.struct("met", -F.col("doc_id"))).alias("b"))
+    pairs = ranked.join(centre, "bucket").where("doc_id <> b").select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b"))
+    likely = cut_lineage(_likely(pairs.distinct(), sketched, percent))
+    links = cut_lineage(_confirmed(likely, sets_of(likely.select(F.explode(F.array("a", "b")).alias("doc_id"))), percent))
+
+    found = cut_lineage(components(reps, links))
+    members = shared.select("bucket", "doc_id").join(found, "doc_id")
+    several = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+    rest = sets_of(members.join(several, "bucket", "left_semi").select("doc_id"))
+    pairs = _sharing_rare(rest.join(found, "doc_id"), percent)
+    likely = cut_lineage(_likely(pairs.distinct(), sketched, percent))
+    links = links.unionByName(_confirmed(likely, rest, percent))
     found = components(reps, links)
     of_class = classes.join(found.withColumnRenamed("doc_id", "rep"), "rep").select("k", F.col("component").alias("component_id"))
     return keyed.join(of_class, "k", "left").select("doc_id", F.coalesce("k.n", F.lit(0)).cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
