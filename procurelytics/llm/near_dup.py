@@ -153,6 +153,12 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(doc_id, component): the least id reachable over ``links`` (a, b).  Labels and links shrink
     together: each round, links move to the least neighbour of their ends until none is left."""
     edges = cut_lineage(links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
+
+    def marked(df):
+        """Distinct links: an equal number with an equal 64-bit sum means that nothing moved."""
+        return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first())
+
+    state = marked(edges)
     while True:
         # large star: every neighbour above a node hangs on the node's least neighbour
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
@@ -162,11 +168,9 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         lowest = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(lowest, "hi").select(F.explode(F.array(
             F.struct(F.col("hi").alias("hi"), F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e")).select("e.*").where("hi <> lo").distinct()
-        after = cut_lineage(small)
-        # both hold distinct links: the same number and none new means that nothing moved
-        same = after.count() == edges.count() and after.join(edges, ["hi", "lo"], "left_anti").isEmpty()
-        edges = after
-        if same:
+        edges, before = cut_lineage(small), state
+        state = marked(edges)
+        if state == before:
             break
     found = edges.groupBy("hi").agg(F.min("lo").alias("component"))
     return nodes.join(found.withColumnRenamed("hi", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
