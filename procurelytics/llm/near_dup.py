@@ -210,26 +210,6 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _sharing_rare(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a > b) of different components that share one of their rarest shingles.  Sets of n
-    shingles and a similarity of ``percent`` share one among the first n - ceil(n * percent / 100) + 1
-    of any common order; the order is by frequency among these sets.  Per shingle the members of its
-    largest component are not paired among themselves, the others are paired with all."""
-    each = sets.select("doc_id", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    counted = each.join(each.groupBy("s").agg(F.count("*").alias("f")), "s")
-    first = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
-    rare = counted.groupBy("doc_id", "component", "n").agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("all"))
-    rows = cut_lineage(rare.select("doc_id", "component", "n", F.inline(F.slice("all", F.lit(1), first))).where("f > 1").drop("f"))
-    sizes = rows.groupBy("s", "component").agg(F.count("*").alias("m"))
-    largest = sizes.groupBy("s").agg(F.max_by("component", F.struct("m", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    mixed = rows.join(largest, "s")
-    outside = mixed.where("component <> largest").select("s", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    others = mixed.select("s", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), "largest")
-    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    pairs = outside.join(others, "s").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("largest")) | (F.col("a") < F.col("b"))) & near)
-    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-
-
 def near_components(docs: DataFrame, shingle: int = 2, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id): documents linked where 100 * shared >= percent * union of
     their shingle sets, directly or over others; component_id is the least doc_id reachable.
@@ -240,11 +220,10 @@ def near_components(docs: DataFrame, shingle: int = 2, percent: int = 80) -> Dat
     empty table gives no rows.
 
     Every bucket is first linked to one member, the one that meets most others over all its buckets:
-    a star, not all pairs, and the origin of a group of copies is its centre.  The documents of
-    buckets that still hold several components are then compared through the rarest shingles of
-    their sets: sets of the similarity asked for share one of these, which copies that were changed
-    in different places do not.  No pair of a bucket that could be linked is left out, and a large
-    group costs its size."""
+    a star, not all pairs, and the origin of a group of copies is its centre.  Where a bucket still
+    holds several components, those outside its largest one are compared with all others of other
+    components, so no pair that shares a bucket and could be linked is left out.  That step is
+    quadratic only in groups of documents that are alike but below the similarity asked for."""
     spark = docs.sparkSession
     bounded_batches(spark)
     base = cut_lineage(sketches(shingle_sets(docs.where("doc_id is not null").select("doc_id", "text"), shingle)))
@@ -275,11 +254,15 @@ def near_components(docs: DataFrame, shingle: int = 2, percent: int = 80) -> Dat
 
     found = cut_lineage(components(reps, links))
     members = shared.select("bucket", "doc_id").join(found, "doc_id")
-    several = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    rest = sets_of(members.join(several, "bucket", "left_semi").select("doc_id"))
-    pairs = _sharing_rare(rest.join(found, "doc_id"), percent)
-    likely = cut_lineage(_likely(pairs.distinct(), sketched, percent))
-    links = links.unionByName(_confirmed(likely, rest, percent))
+    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("m"))
+    largest = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("m", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+    mixed = cut_lineage(members.join(largest, "bucket").join(sketched.select("doc_id", "n"), "doc_id"))
+    outside = mixed.where("component <> largest").select("bucket", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
+    others = mixed.select("bucket", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), "largest")
+    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    pairs = outside.join(others, "bucket").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("largest")) | (F.col("a") < F.col("b"))) & near)
+    likely = cut_lineage(_likely(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), sketched, percent))
+    links = links.unionByName(_confirmed(likely, sets_of(likely.select(F.explode(F.array("a", "b")).alias("doc_id"))), percent))
     found = components(reps, links)
     of_class = classes.join(found.withColumnRenamed("doc_id", "rep"), "rep").select("k", F.col("component").alias("component_id"))
     return keyed.join(of_class, "k", "left").select("doc_id", F.coalesce("k.n", F.lit(0)).cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
