@@ -14,6 +14,8 @@ from __future__ import annotations
 import html
 import json
 import re
+from difflib import SequenceMatcher
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -36,8 +38,10 @@ LEFT_OUT_WORDS = frozenset(
 LEFT_OUT_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu navigation search".split())
 #: Tags whose names say what they hold, whatever their class.
 OWN_NAME = frozenset("article main body html h1 h2 h3 h4 h5 h6".split())
-#: Longest group of tokens that is folded, and tokens of a wrapper beyond which new parts are not added.
-GROUP, WRAPPER = 12, 400
+#: Longest group of tokens that is folded, and most optional neighbours that stand in their own order.
+GROUP = 12
+#: Cells of an alignment beyond which the longest common stream is not sought: matching blocks serve.
+CELLS = 4_000_000
 #: Share of a host's text that the container must hold where no tag names the article.
 MOST = 0.6
 SLOT = "#"
@@ -125,15 +129,33 @@ def fold(items: list) -> list:
     return out
 
 
+def _loose(group) -> bool:
+    """Is it a repeated choice ["+", ["?", ...], ["?", ...]]: any parts in any order."""
+    return isinstance(group, list) and len(group) > 1 and all(isinstance(part, list) and part[0] == "?" for part in group[1:])
+
+
 def _instances(items: list, of: list) -> list:
     """``items`` where parts that are instances of groups of ``of`` stand as those groups."""
     groups = sorted((g for g in of if isinstance(g, list)), key=len, reverse=True)
+    bodies = [(g, sorted((part[1:] for part in g[1:]), key=len, reverse=True) if _loose(g) else None) for g in groups]
+
+    def end(i, g, parts):
+        if items[i] == g:
+            return i + 1
+        if parts is None:
+            return i + len(g) - 1 if items[i : i + len(g) - 1] == g[1:] else i
+        if isinstance(items[i], str) and (items[i].startswith("/") or items[i] == SLOT):
+            return i  # as in fold, no choice begins with the end of an element
+        while step := next((len(p) for p in parts if items[i : i + len(p)] == p), 0):
+            i += step
+        return i
+
     out, i = [], 0
     while i < len(items):
-        for g in groups:
-            if items[i : i + len(g) - 1] == g[1:]:
+        for g, parts in bodies:
+            if (after := end(i, g, parts)) > i:
                 out.append(g)
-                i += len(g) - 1
+                i = after
                 break
         else:
             out.append(items[i])
@@ -141,9 +163,78 @@ def _instances(items: list, of: list) -> list:
     return out
 
 
+def _leaves(items):
+    for item in items:
+        if isinstance(item, list):
+            yield from _leaves(item[1:])
+        else:
+            yield item
+
+
+def gather(items: list) -> list:
+    """Neighbouring optional parts of which one comes twice, or that are more than GROUP, become one
+    repeated choice of the distinct parts, or of their single tokens where those are more than GROUP.
+    It covers all that the parts covered, so nothing is left out and equal parts do not pile up."""
+    out, run = [], []
+
+    def close():
+        bodies = [part[1:] for g in run for part in (g[1:] if _loose(g) else [g])]
+        distinct = list({repr(body): body for body in bodies}.values())
+        if len(run) > 1 and (len(distinct) < len(bodies) or len(run) > GROUP or any(_loose(g) for g in run)):
+            if len(distinct) > GROUP:
+                distinct = [[token] for token in dict.fromkeys(_leaves(chain.from_iterable(distinct)))]
+            out.append(["+", *(["?", *body] for body in distinct)])
+        else:
+            out.extend(run)
+        run.clear()
+
+    for item in items:
+        if isinstance(item, list):
+            run.append(item)
+        else:
+            close()
+            out.append(item)
+    close()
+    return out
+
+
+def _pairs(a: list, b: list, alike) -> list:
+    """Pairs of places of ``a`` and ``b`` that match, both ascending."""
+    head, n = 0, min(len(a), len(b))
+    while head < n and a[head] == b[head]:
+        head += 1
+    tail = 0
+    while tail < n - head and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    x, y = a[head : len(a) - tail], b[head : len(b) - tail]
+    ends = [(len(a) - k, len(b) - k) for k in range(tail, 0, -1)]
+    pairs = [(k, k) for k in range(head)]
+    if len(x) * len(y) > CELLS:
+        names = [[repr(item[1] if isinstance(item, list) else item) + "+" * isinstance(item, list) for item in side] for side in (x, y)]
+        for i, j, size in SequenceMatcher(None, *names, autojunk=False).get_matching_blocks():
+            pairs += [(head + i + k, head + j + k) for k in range(size)]
+        return pairs + ends
+    longest = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i in range(len(x) - 1, -1, -1):
+        row, below = longest[i], longest[i + 1]
+        for j in range(len(y) - 1, -1, -1):
+            row[j] = below[j + 1] + 1 if alike(x[i], y[j]) else max(below[j], row[j + 1])
+    i = j = 0
+    while i < len(x) and j < len(y):
+        if alike(x[i], y[j]):
+            pairs.append((head + i, head + j))
+            i, j = i + 1, j + 1
+        elif longest[i + 1][j] >= longest[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return pairs + ends
+
+
 def align(a: list, b: list) -> list:
     """The least general wrapper of two: equal tokens stay, instances of a group belong to it, what
-    only one side holds becomes optional ["?", ...], groups that begin alike are aligned inside."""
+    only one side holds becomes optional ["?", ...], groups that begin alike are aligned inside.
+    Nothing of either side is left out."""
     if a == b:
         return a
     a, b = fold(_instances(a, b)), fold(_instances(b, a))
@@ -151,40 +242,29 @@ def align(a: list, b: list) -> list:
     def alike(x, y):
         return x == y or (isinstance(x, list) and isinstance(y, list) and x[1] == y[1])
 
-    longest = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            longest[i][j] = longest[i + 1][j + 1] + 1 if alike(a[i], b[j]) else max(longest[i + 1][j], longest[i][j + 1])
-    out, only, side, i, j = [], [], True, 0, 0
+    out = []
 
-    def close():
+    def optional(part):  # of one side
         plain: list = []
-        for item in [*only, None]:
+        for item in [*part, None]:
             if isinstance(item, str):
                 plain.append(item)
                 continue
-            if plain and len(out) < WRAPPER:
+            if plain:
                 out.append(["?", *plain])
             plain = []
-            if item is not None and len(out) < WRAPPER:
+            if item is not None:
                 out.append(item)  # a repeated group may also be absent
-        only.clear()
 
-    while i < len(a) or j < len(b):
-        if i < len(a) and j < len(b) and alike(a[i], b[j]):
-            close()
-            x, y = a[i], b[j]
+    i = j = 0
+    for at, to in [*_pairs(a, b, alike), (len(a), len(b))]:
+        optional(a[i:at])  # parts of the two sides are two options
+        optional(b[j:to])
+        i, j = at + 1, to + 1
+        if at < len(a):
+            x, y = a[at], b[to]
             out.append(x if x == y else ["+" if "+" in (x[0], y[0]) else "?", *align(x[1:], y[1:])])
-            i, j = i + 1, j + 1
-        else:
-            of_a = j >= len(b) or (i < len(a) and longest[i + 1][j] >= longest[i][j + 1])
-            if only and of_a != side:  # parts of the two sides are two options
-                close()
-            side = of_a
-            only.append(a[i] if of_a else b[j])
-            i, j = i + of_a, j + (not of_a)
-    close()
-    return fold(out)
+    return gather(fold(out))
 
 
 def host_of(url):

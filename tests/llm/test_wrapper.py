@@ -47,3 +47,12 @@ def test_wrapper_stays_small_and_covers_both():
         page = wrapper.fold(["h1", "#", "/h1", *(t for _ in range(rng.randint(1, 30)) for t in rng.choice([["p", "#", "/p"], ["p", "b", "#", "br"], ["ul", "li", "#", "/li", "/ul"]]))])
         one = page if one is None else wrapper.align(one, page)
     assert len(json.dumps(one)) < 60_000
+
+
+def test_alignment_leaves_nothing_out():
+    one = None
+    for k in range(3):
+        page = wrapper.fold(["body", *(x for i in range(300) for x in (f"div.{'abc'[k]}{i}", "#", "/div")), "article", "#", "/article"][: None if k == 1 else 901])
+        one = page if one is None else wrapper.align(one, page)
+    labels = set(wrapper._leaves(one))
+    assert {f"div.{c}{i}" for c in "abc" for i in range(300)} | {"article"} <= labels
