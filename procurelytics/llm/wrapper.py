@@ -42,7 +42,7 @@ OWN_NAME = frozenset("article main body html h1 h2 h3 h4 h5 h6".split())
 GROUP = 12
 #: Cells of an alignment beyond which the longest common stream is not sought: matching blocks serve.
 CELLS = 4_000_000
-#: Share of a host's text that the container must hold where no tag names the article.
+#: Share of the text of a host's pages that name no article which the container must hold.
 MOST = 0.6
 SLOT = "#"
 
@@ -273,6 +273,12 @@ def host_of(url):
     return F.when(found != "", found)
 
 
+def named(texts) -> str | None:
+    """'*article' or '*main' where the page itself has such an element that holds text."""
+    found = {label.split(".")[0] for _, path, out, _, raw in texts if not out and raw.strip() for label in path}
+    return next(("*" + name for name in ("article", "main") if name in found), None)
+
+
 def _weights(texts, into: dict) -> None:
     """Characters of text outside links and left-out parts, by container path."""
     for _, path, out, link, raw in texts:
@@ -285,7 +291,8 @@ def _weights(texts, into: dict) -> None:
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
     """(host, wrapper, container): the wrapper of each host as JSON, and the label path of the
-    container that holds its articles.  Pages without host share one wrapper (host '')."""
+    container that holds the articles of its pages without article and main elements.  Pages without
+    host share one wrapper (host '')."""
 
     def learn(batches):
         known: dict[str, list] = {}
@@ -299,7 +306,8 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
                     entry[0] = align(entry[0], skeleton)
                     if len(entry[2]) < 10_000:
                         entry[2].add(shape)
-                _weights(texts, entry[1])
+                if not named(texts):
+                    _weights(texts, entry[1])
         rows = [(h, json.dumps(w), json.dumps(c)) for h, (w, c, _) in known.items()]
         yield _batch(rows)
 
@@ -314,27 +322,15 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
         for c in table.column("weights").to_pylist():
             for path, n in json.loads(c).items():
                 weights[path] = weights.get(path, 0) + n
-        return pa.table([pa.array([table.column("host")[0].as_py()]), pa.array([json.dumps(wrapper)]), pa.array([container(wrapper, weights)], pa.string())], names=["host", "wrapper", "container"])
+        return pa.table([pa.array([table.column("host")[0].as_py()]), pa.array([json.dumps(wrapper)]), pa.array([container(weights)], pa.string())], names=["host", "wrapper", "container"])
 
     source = pages.select(F.coalesce(host_of("url"), F.lit("")).alias("host"), whole_text("html").alias("html"))
     return source.mapInArrow(learn, "host string, wrapper string, weights string").groupBy("host").applyInArrow(merge, "host string, wrapper string, container string")
 
 
-def _labels(items):
-    for item in items:
-        if isinstance(item, list):
-            yield from _labels(item[1:])
-        elif item != SLOT:
-            yield item
-
-
-def container(wrapper: list, weights: dict[str, int]) -> str | None:
-    """The path of the article: '*article' or '*main' where the wrapper has such an element that
-    holds text, else the deepest container with MOST of the host's text; NULL where there is none."""
-    labels = {label.split(".")[0] for label in _labels(wrapper)}
-    for name in ("article", "main"):
-        if name in labels and any(p.split(".")[0] == name for path in weights for p in path.split(">")):
-            return "*" + name
+def container(weights: dict[str, int]) -> str | None:
+    """The deepest container with MOST of the text of a host's pages that name no article; NULL where
+    there is none."""
     total, inside = sum(weights.values()), {}
     for path, n in weights.items():
         parts = path.split(">")
@@ -353,9 +349,11 @@ def _inside(path, wanted: str | None) -> bool:
 
 
 def main_text(page: str, wanted: str | None) -> str:
-    """The text of a page inside the container, in page order, white space as single blanks.  A page
-    that lacks the host's container is taken whole."""
+    """The text of a page inside its container, in page order, white space as single blanks: its own
+    article or main element, else ``wanted``, the container of its host.  A page that lacks both is
+    taken whole."""
     _, texts = walk(page)
+    wanted = named(texts) or wanted
     if not any(_inside(path, wanted) for _, path, _, _, raw in texts if raw.strip()):
         wanted = None
     return " ".join(html.unescape("".join(raw if raw == " " or (_inside(path, wanted) and path) or wanted is None else " " for _, path, out, _, raw in texts if not out)).split())

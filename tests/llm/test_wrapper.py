@@ -56,3 +56,11 @@ def test_alignment_leaves_nothing_out():
         one = page if one is None else wrapper.align(one, page)
     labels = set(wrapper._leaves(one))
     assert {f"div.{c}{i}" for c in "abc" for i in range(300)} | {"article"} <= labels
+
+
+def test_one_page_with_article_leaves_the_others_their_container(spark):
+    plain = "<body><div id=top>Menu of all</div><div class='c'><p>Long text number {0} that goes on and on for a while</p><p>End {0}.</p></div><div class=x>tail</div>"
+    rows = [(i, "//b.example", plain.format(i), "") for i in range(9)]
+    odd = [(20, "//b.example", "<body><div id=top>Menu of all</div><article><p>Only one</p></article>", ""), (21, "//b.example", "<body><div id=top>Menu of all</div><main><p>Only main</p></main>", "")]
+    got = extract(spark, rows + odd)
+    assert got[4] == "Long text number 4 that goes on and on for a while End 4." and got[20] == "Only one" and got[21] == "Only main"
