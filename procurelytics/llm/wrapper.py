@@ -1,13 +1,14 @@
 """Main text of web pages by wrapper inference.
 
-A page is a stream of tags and texts.  Repeated neighbours fold into groups; the streams of a host are
-aligned one after the other, where a text that differs becomes a slot, a part that one stream lacks
-becomes optional, and repetitions become groups.  The result is a union-free regular expression, the
-host's wrapper.  It names the container of the article; texts inside it, without menus and the like,
-are the main text.
+A page is a stream of tags and texts.  Repeated neighbours fold into groups; the streams of a host's pages
+of one shape are aligned one after the other, where a text that differs becomes a slot, a part that one
+stream lacks becomes optional, and repetitions become groups.  The result is a union-free regular
+expression, the wrapper.  Tags, or else the weight of texts, name the container of the article; each page
+is matched against its wrapper, and the texts inside the container, without menus and the like and without
+those that the wrapper holds constant, are the main text.
 
-Every task folds its pages into one wrapper per host before anything is shuffled, so a host with a
-third of all pages sends one small row per task."""
+Every task folds its pages into one wrapper per host and shape before anything is shuffled, so a host with
+a third of all pages sends one small row per task."""
 
 from __future__ import annotations
 
@@ -15,6 +16,8 @@ import html
 import json
 import re
 from difflib import SequenceMatcher
+from functools import lru_cache
+from hashlib import blake2b
 from itertools import chain
 
 import pyarrow as pa
@@ -44,6 +47,10 @@ GROUP = 12
 CELLS = 4_000_000
 #: Share of the text of a host's pages that name no article which the container must hold.
 MOST = 0.6
+#: Different pages of a host and shape that must share a text for it to be the template's, not an article's.
+TEMPLATE = 20
+#: Page streams of a host that wait for their alignment.
+WAITING = 1000
 SLOT = "#"
 
 
@@ -61,13 +68,12 @@ def _names(attributes: str):
 
 
 def walk(page: str):
-    """(tokens, texts): the stream of labels with SLOT for texts; per text its place in the stream,
-    the labels of the containers around it, whether it is left out or a link, and the raw text.
+    """(tokens, texts): the stream of labels with SLOT for texts; per text the place of its slot, the labels of the containers around it, whether it is left out or a link, and the raw text.
     Block borders are texts of one blank."""
     tokens, texts, stack, at = [], [], [], 0
 
     def text(raw):
-        texts.append((len(tokens), tuple(s[2] for s in stack if s[2]), any(s[1] for s in stack), any(s[0] == "a" for s in stack), raw))
+        texts.append((len(tokens) - bool(tokens and tokens[-1] == SLOT), tuple(s[2] for s in stack if s[2]), any(s[1] for s in stack), any(s[0] == "a" for s in stack), raw))
         if raw.strip() and (not tokens or tokens[-1] != SLOT):
             tokens.append(SLOT)
 
@@ -102,12 +108,36 @@ def walk(page: str):
     return tokens, texts
 
 
+def marked(tokens: list, texts: list) -> list:
+    """The stream with each text as SLOT and its hash."""
+    words: dict[int, list] = {}
+    for place, _, _, _, raw in texts:
+        if raw.strip():
+            words.setdefault(place, []).extend(raw.split())
+    out = list(tokens)
+    for place, found in words.items():
+        out[place] = SLOT + blake2b(" ".join(found).encode("utf-8", "replace"), digest_size=8).hexdigest()
+    return out
+
+
+def _bare(items: list) -> list:
+    """Every text as SLOT."""
+    return [SLOT if isinstance(item, str) and item.startswith(SLOT) else item for item in items]
+
+
+def _both(a: list, b: list) -> list:
+    """Two streams that differ in texts only: those become slots."""
+    return [x if x == y else SLOT for x, y in zip(a, b)]
+
+
 def fold(items: list) -> list:
     """Neighbouring equal groups become one repeated group ["+", ...], neighbours of a repeated group
-    that equal it are taken in; a group does not begin with the end of an element."""
-    out: list = []
-    for item in items:
-        out.append(item)
+    that equal it are taken in; a group does not begin with the end of an element.  Texts count as
+    equal; inside a group they are slots."""
+    out, own = [], []  # own: the items with their texts' hashes
+    for item, bare in zip(items, _bare(items)):
+        out.append(bare)
+        own.append(item)
         again = True
         while again:
             again = False
@@ -125,8 +155,10 @@ def fold(items: list) -> list:
                     out[-2 * n :] = [["+", *tail]]
                     again = True
                 if again:
+                    kept = len(out) - 1
+                    own[kept:] = [out[kept]]
                     break
-    return out
+    return own
 
 
 def _loose(group) -> bool:
@@ -139,14 +171,16 @@ def _instances(items: list, of: list) -> list:
     groups = sorted((g for g in of if isinstance(g, list)), key=len, reverse=True)
     bodies = [(g, sorted((part[1:] for part in g[1:]), key=len, reverse=True) if _loose(g) else None) for g in groups]
 
+    bare = _bare(items)
+
     def end(i, g, parts):
-        if items[i] == g:
+        if bare[i] == g:
             return i + 1
         if parts is None:
-            return i + len(g) - 1 if items[i : i + len(g) - 1] == g[1:] else i
-        if isinstance(items[i], str) and (items[i].startswith("/") or items[i] == SLOT):
+            return i + len(g) - 1 if bare[i : i + len(g) - 1] == g[1:] else i
+        if isinstance(bare[i], str) and (bare[i].startswith("/") or bare[i] == SLOT):
             return i  # as in fold, no choice begins with the end of an element
-        while step := next((len(p) for p in parts if items[i : i + len(p)] == p), 0):
+        while step := next((len(p) for p in parts if bare[i : i + len(p)] == p), 0):
             i += step
         return i
 
@@ -232,9 +266,9 @@ def _pairs(a: list, b: list, alike) -> list:
 
 
 def align(a: list, b: list) -> list:
-    """The least general wrapper of two: equal tokens stay, instances of a group belong to it, what
-    only one side holds becomes optional ["?", ...], groups that begin alike are aligned inside.
-    Nothing of either side is left out."""
+    """The least general wrapper of two: equal tokens stay, texts that differ become slots, instances of
+    a group belong to it, what only one side holds becomes optional ["?", ...], groups that begin alike
+    are aligned inside.  Nothing of either side is left out."""
     if a == b:
         return a
     a, b = fold(_instances(a, b)), fold(_instances(b, a))
@@ -246,7 +280,7 @@ def align(a: list, b: list) -> list:
 
     def optional(part):  # of one side
         plain: list = []
-        for item in [*part, None]:
+        for item in [*_bare(part), None]:
             if isinstance(item, str):
                 plain.append(item)
                 continue
@@ -257,13 +291,13 @@ def align(a: list, b: list) -> list:
                 out.append(item)  # a repeated group may also be absent
 
     i = j = 0
-    for at, to in [*_pairs(a, b, alike), (len(a), len(b))]:
+    for at, to in [*_pairs(_bare(a), _bare(b), alike), (len(a), len(b))]:
         optional(a[i:at])  # parts of the two sides are two options
         optional(b[j:to])
         i, j = at + 1, to + 1
         if at < len(a):
             x, y = a[at], b[to]
-            out.append(x if x == y else ["+" if "+" in (x[0], y[0]) else "?", *align(x[1:], y[1:])])
+            out.append(x if x == y else SLOT if isinstance(x, str) else ["+" if "+" in (x[0], y[0]) else "?", *align(x[1:], y[1:])])
     return gather(fold(out))
 
 
@@ -289,43 +323,136 @@ def _weights(texts, into: dict) -> None:
                 into[key] = into.get(key, 0) + n
 
 
+def shape(texts) -> str:
+    """The label path that holds most of a page's text, down to the element that names the article:
+    pages of one template share it."""
+    weights: dict[str, int] = {}
+    _weights(texts, weights)
+    path = max(weights, key=lambda p: (weights[p], p), default="").split(">")
+    name = named(texts)
+    k = next((k for k, label in enumerate(path, 1) if name and label.split(".")[0] == name[1:]), len(path))
+    return ">".join(path[:k])
+
+
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, container): the wrapper of each host as JSON, and the label path of the
-    container that holds the articles of its pages without article and main elements.  Pages without
-    host share one wrapper (host '')."""
+    """(host, wrappers, container): the wrapper of each shape of a host's pages that TEMPLATE different
+    pages share, as JSON, and the label path of the container that holds the articles of its pages
+    without article and main elements.  Pages without host count as one host ''."""
+
+    def settle(entry):
+        for waiting in sorted(entry[1].values(), key=repr):
+            entry[0] = waiting if entry[0] is None else align(entry[0], waiting)
+        entry[1].clear()
+        return entry
 
     def learn(batches):
-        known: dict[str, list] = {}
+        known: dict[str, tuple[dict, dict]] = {}
         for batch in batches:
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1)):
                 tokens, texts = walk(page.as_py())
-                skeleton = fold(tokens)
-                entry = known.setdefault(host, [skeleton, {}, set()])
-                shape = json.dumps(skeleton)
-                if shape not in entry[2]:  # a shape that was aligned before adds nothing
-                    entry[0] = align(entry[0], skeleton)
-                    if len(entry[2]) < 10_000:
-                        entry[2].add(shape)
+                weights, shapes = known.setdefault(host, ({}, {}))
                 if not named(texts):
-                    _weights(texts, entry[1])
-        rows = [(h, json.dumps(w), json.dumps(c)) for h, (w, c, _) in known.items()]
+                    _weights(texts, weights)
+                entry = shapes.setdefault(shape(texts), [None, {}, set()])
+                stream = marked(tokens, texts)
+                if len(entry[2]) < TEMPLATE:
+                    entry[2].add(blake2b(" ".join(stream).encode("utf-8", "replace"), digest_size=8).hexdigest())
+                stream = fold(stream)
+                key = json.dumps(_bare(stream))  # streams that differ in texts only need no alignment
+                entry[1][key] = _both(entry[1][key], stream) if key in entry[1] else stream
+                if len(entry[1]) >= WAITING:
+                    settle(entry)
+        rows = [(h, json.dumps({k: [settle(e)[0], sorted(e[2])] for k, e in shapes.items()}), json.dumps(c)) for h, (c, shapes) in known.items()]
         yield _batch(rows)
 
     def _batch(rows):
         h, w, c = zip(*rows) if rows else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(h, pa.string()), pa.array(w, pa.string()), pa.array(c, pa.string())], names=["host", "wrapper", "weights"])
+        return pa.RecordBatch.from_arrays([pa.array(h, pa.string()), pa.array(w, pa.string()), pa.array(c, pa.string())], names=["host", "wrappers", "weights"])
 
     def merge(table: pa.Table) -> pa.Table:
-        wrapper, weights = None, {}
-        for w in sorted(set(table.column("wrapper").to_pylist())):
-            wrapper = json.loads(w) if wrapper is None else align(wrapper, json.loads(w))
+        shapes: dict[str, list] = {}
+        weights: dict[str, int] = {}
+        for row in map(json.loads, table.column("wrappers").to_pylist()):
+            for k, (w, seen) in row.items():
+                entry = shapes.setdefault(k, [None, {}, set()])
+                entry[1][json.dumps(w)] = w
+                entry[2].update(seen)
         for c in table.column("weights").to_pylist():
             for path, n in json.loads(c).items():
                 weights[path] = weights.get(path, 0) + n
-        return pa.table([pa.array([table.column("host")[0].as_py()]), pa.array([json.dumps(wrapper)]), pa.array([container(weights)], pa.string())], names=["host", "wrapper", "container"])
+        wrappers = {k: settle(e)[0] for k, e in shapes.items() if len(e[2]) >= TEMPLATE}
+        return pa.table([pa.array([table.column("host")[0].as_py()]), pa.array([json.dumps(wrappers, sort_keys=True)]), pa.array([container(weights)], pa.string())], names=["host", "wrappers", "container"])
 
     source = pages.select(F.coalesce(host_of("url"), F.lit("")).alias("host"), whole_text("html").alias("html"))
-    return source.mapInArrow(learn, "host string, wrapper string, weights string").groupBy("host").applyInArrow(merge, "host string, wrapper string, container string")
+    return source.mapInArrow(learn, "host string, wrappers string, weights string").groupBy("host").applyInArrow(merge, "host string, wrappers string, container string")
+
+
+class Program:
+    """A wrapper as an automaton.  Optional and repeated parts may be absent; the texts that all its
+    pages share stand outside them, so every match passes each of them."""
+
+    def __init__(self, wrapper: list):
+        self.arc: list = [None]  # by state: token, next state, is it a shared text
+        self.free: list[list[int]] = [[]]  # by state: states reached without a token
+        self.constants = {t for t in wrapper if isinstance(t, str) and t.startswith(SLOT) and t != SLOT}
+        self.end = self._build(wrapper, 0)
+        self.known: dict = {}
+
+    def _state(self) -> int:
+        self.arc.append(None)
+        self.free.append([])
+        return len(self.arc) - 1
+
+    def _build(self, items, at):
+        for item in items:
+            after = self._state()
+            if isinstance(item, str):
+                self.arc[at] = (item, after, item in self.constants)
+            else:
+                inner = self._state()
+                self.free[at] += [inner, after]
+                last = self._build(item[1:], inner)
+                self.free[last] += [inner, after] if item[0] == "+" else [after]
+            at = after
+        return at
+
+    def _reach(self, state, bare):
+        """States reached without a token whose arc takes ``bare``; the end for None."""
+        if (state, bare) not in self.known:
+            seen, todo = {state: None}, [state]
+            while todo:
+                for s in self.free[todo.pop()]:
+                    if s not in seen:
+                        seen[s] = None
+                        todo.append(s)
+            self.known[state, bare] = [s for s in seen if (s == self.end if bare is None else self.arc[s] and (self.arc[s][0] == bare or bare == SLOT and self.arc[s][0].startswith(SLOT)))]
+        return self.known[state, bare]
+
+    def shared(self, stream: list) -> set[int]:
+        """Places of the stream that the wrapper takes as its shared texts; none where it does not match."""
+        states, steps = [0], []
+        for token, bare in zip(stream, _bare(stream)):
+            came = {}
+            for s in states:
+                for q in self._reach(s, bare):
+                    want, after, _ = self.arc[q]
+                    if want in (token, bare):
+                        came.setdefault(after, (s, q))
+            states = list(came)
+            steps.append(came)
+        at = next((s for s in states if self._reach(s, None)), None)
+        found = set()
+        if at is not None:
+            for place in range(len(steps) - 1, -1, -1):
+                at, q = steps[place][at]
+                if self.arc[q][2]:
+                    found.add(place)
+        return found
+
+
+@lru_cache(maxsize=256)
+def programs(wrappers: str) -> dict[str, Program]:
+    return {k: Program(w) for k, w in json.loads(wrappers).items()}
 
 
 def container(weights: dict[str, int]) -> str | None:
@@ -348,15 +475,27 @@ def _inside(path, wanted: str | None) -> bool:
     return ">".join(path[: wanted.count(">") + 1]) == wanted
 
 
-def main_text(page: str, wanted: str | None) -> str:
+def main_text(page: str, wanted: str | None, wrappers: str | None = None) -> str:
     """The text of a page inside its container, in page order, white space as single blanks: its own
     article or main element, else ``wanted``, the container of its host.  A page that lacks both is
-    taken whole."""
-    _, texts = walk(page)
+    taken whole.  Texts that the wrapper of the page's shape holds constant are the template's, unless
+    the container holds nothing else."""
+    tokens, texts = walk(page)
     wanted = named(texts) or wanted
     if not any(_inside(path, wanted) for _, path, _, _, raw in texts if raw.strip()):
         wanted = None
-    return " ".join(html.unescape("".join(raw if raw == " " or (_inside(path, wanted) and path) or wanted is None else " " for _, path, out, _, raw in texts if not out)).split())
+    shared: set[int] = set()
+    program = programs(wrappers).get(shape(texts)) if wrappers else None
+    if program and program.constants:
+        inside = {place for place, path, out, _, raw in texts if not out and raw.strip() and _inside(path, wanted)}
+        stream = marked(tokens, texts)
+        if any(stream[place] in program.constants for place in inside):
+            shared = program.shared(stream)
+            if inside <= shared:
+                shared = set()
+    return " ".join(html.unescape("".join(
+        (raw if raw == " " or (_inside(path, wanted) and path) or wanted is None else " ") if raw == " " or place not in shared else " "
+        for place, path, out, _, raw in texts if not out)).split())
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -368,17 +507,17 @@ def extract(pages: DataFrame) -> DataFrame:
     broadcast where Spark finds it small, else a shuffle that splits hot hosts."""
     spark = pages.sparkSession
     bounded_batches(spark)
-    wrappers = cut_lineage(infer_wrappers(pages.select("url", "html"))).select(F.col("host").alias("_host"), "container")
+    wrappers = cut_lineage(infer_wrappers(pages.select("url", "html"))).select(F.col("host").alias("_host"), "container", "wrappers")
     names = [c for c in pages.columns if c != "text"]
     row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")
     joined = pages.select(row, F.coalesce(host_of("url"), F.lit("")).alias("_host"), whole_text("html").alias("_html")).join(wrappers, "_host", "left")
 
     def run(batches):
         for batch in batches:
-            found = [main_text(h.as_py(), c) for h, c in zip(batch.column(1), batch.column(2).to_pylist())]
+            found = [main_text(h.as_py(), c, w) for h, c, w in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["_row", "text"])
 
-    source = joined.select("_row", "_html", "container")
+    source = joined.select("_row", "_html", "container", "wrappers")
     from pyspark.sql import types as T
 
     schema = T.StructType([source.schema["_row"], T.StructField("text", T.StringType())])

@@ -64,3 +64,32 @@ def test_one_page_with_article_leaves_the_others_their_container(spark):
     odd = [(20, "//b.example", "<body><div id=top>Menu of all</div><article><p>Only one</p></article>", ""), (21, "//b.example", "<body><div id=top>Menu of all</div><main><p>Only main</p></main>", "")]
     got = extract(spark, rows + odd)
     assert got[4] == "Long text number 4 that goes on and on for a while End 4." and got[20] == "Only one" and got[21] == "Only main"
+
+
+def test_texts_of_the_template_inside_the_article_are_left_out(spark):
+    rng, rows, want = random.Random(4), [], {}
+    for i in range(60):
+        ps = [f"Words {i} {k} {rng.random()}" for k in range(rng.randint(1, 6))]
+        body = "".join(rng.choice(["<p>%s</p>", "<p><b>%s<br>"]) % p for p in ps)
+        more = "<ul><li>Point</li></ul>" if i % 2 else ""
+        rows.append((i, "//t.example", f"<body><nav>n</nav><article><div class=share>Share this <b>page</b></div><h1>T{i}</h1>{body}{more}<p class=sign>Sign up!</p></article></body>", ""))
+        want[i] = " ".join([f"T{i}", *ps, *(["Point"] if more else [])])
+    plain = [(100 + i, "//t.example", f"<body><article><p>Share this</p><p>Own {i}</p></article></body>", "") for i in range(1)]
+    copies = [(200 + i, "//copies.example", f"<body><i>{i}</i><article><p>Same text</p><p>on all pages</p></article></body>", "") for i in range(30)]
+    got = extract(spark, rows)
+    assert {k: got[k] for k in want} == want
+    assert set(extract(spark, copies).values()) == {"Same text on all pages"}
+    assert extract(spark, plain)[100] == "Share this Own 0"
+
+
+def test_every_page_matches_its_wrapper():
+    rng, pages = random.Random(5), []
+    parts = [["p", "#", "/p"], ["p", "b", "#", "br"], ["ul", "li", "#", "/li", "/ul"], ["div.x", "img", "/div"], ["table", "tr", "td", "#", "td", "#", "/table"]]
+    for i in range(150):
+        body = [t if t != "#" else f"#{rng.randint(0, 9)}" for _ in range(rng.randint(0, 30)) for t in rng.choice(parts)]
+        pages.append(["body", "h1", f"#{i}", "/h1", "div.share", "#share", "/div", *body, "/body"])
+    one = None
+    for page in pages:
+        one = wrapper.fold(page) if one is None else wrapper.align(one, wrapper.fold(page))
+    program = wrapper.Program(one)
+    assert program.constants == {"#share"} and all(program.shared(page) == {5} for page in pages)
