@@ -139,6 +139,21 @@ def normalize_index_file(spark, d):
     return shown(out.groupBy("indicator_code", "country_code", "as_of_date").agg(F.count("*").alias("n"), F.sum("value").alias("total")))
 
 
+@query("read_delimited", sql("", """
+SELECT o_orderkey AS order_key, CAST(date_trunc('month', o_orderdate) AS DATE) AS as_of_date, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END AS gscpi,
+       CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice END AS value FROM orders""", ints="order_key", doubles="gscpi value"))
+def read_delimited(spark, d):
+    """Orders as a folder of index files, even keys with commas, odd keys with tabs and other columns."""
+    rows = B.read_parquet(spark, d, "orders").select("o_orderkey", F.date_format(dates.as_date(F.col("o_orderdate")), "yyyy-MM").alias("Month"), "o_totalprice")
+    path = scratch_path(spark, "delimited")
+    even = F.pmod("o_orderkey", F.lit(2)) == 0
+    rows.where(even).select("Month", F.col("o_orderkey").alias("Key"), F.col("o_totalprice").alias("gscpi")).write.csv(path, header=True)
+    rows.where(~even).select(F.col("o_orderkey").alias("Key"), "Month", F.col("o_totalprice").alias("Value")).write.mode("append").csv(path, header=True, sep="\t")
+    out = payloads.read_delimited(spark, path)
+    return shown(out.select(F.col("Key").cast("bigint").alias("order_key"), dates.parse_index_date(F.col("Month")).alias("as_of_date"),
+                            F.col("gscpi").cast("double").alias("gscpi"), F.col("Value").cast("double").alias("value")))
+
+
 @query("parse_period", sql("", """
 SELECT CAST(year(o_orderdate) AS VARCHAR) || 'q' || CAST(quarter(o_orderdate) AS VARCHAR) AS period, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS as_of_date,
        count(*) AS n FROM orders GROUP BY 1, 2""", ints="n"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from procurelytics import constants as K
@@ -160,16 +164,32 @@ def first_present(df: DataFrame, names) -> Column:
     return F.coalesce(*found) if found else F.lit(None).cast("string")
 
 
-def sniff_delimiter(lines: DataFrame, value_col: str = "value") -> str:
-    """Tab if the header line (the first line of the file) holds one, else comma."""
-    head = lines.select(value_col).head(1)
-    return "\t" if head and "\t" in head[0][0] else ","
+def sniff_delimiter(header: str) -> str:
+    """Tab if the header line holds one, else comma."""
+    return "\t" if "\t" in header else ","
+
+
+def header_lines(lines: DataFrame) -> DataFrame:
+    """(file, header): the first line with text of each file that has one."""
+    first = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    first = first.withColumn("at", F.struct("start", F.monotonically_increasing_id().alias("row")))
+    return first.where(F.length(F.trim("value")) > 0).groupBy("file").agg(F.min_by("value", "at").alias("header"))
 
 
 def read_delimited(spark, path: str) -> DataFrame:
-    """A delimited file with a header, every column as text."""
-    delimiter = sniff_delimiter(spark.read.text(path))
-    return spark.read.csv(path, header=True, sep=delimiter, inferSchema=False)
+    """A delimited file, or a folder of them, with headers, every column as text.  Each file has the
+    delimiter and the columns of its own header line; columns are joined by name."""
+    lines = spark.read.text(path)
+    # one row: the names of the files, which the driver lists anyway, by header line
+    by_header = header_lines(lines).groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    found = by_header.agg(F.sort_array(F.collect_list(F.struct("files", "header"))).alias("all")).head(1)[0]["all"]
+    if not found:
+        return spark.read.csv(path, header=True, inferSchema=False)
+    groups = {g["header"]: [re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(f)) for f in g["files"]] for g in found}
+    base = {"basePath": path} if len(lines.columns) > 1 else {}  # folders named column=value
+    parts = [spark.read.options(**base).csv(files, header=True, sep=sniff_delimiter(header), inferSchema=False) for header, files in groups.items()]
+    parts = [part.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in part.columns]) for part in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def normalize_index_file(rows: DataFrame, *, source: str, code: str, name: str, unit="index",

@@ -244,3 +244,13 @@ def test_old_versions_are_deleted(spark, folder):
         layers.upsert_table(spark, base, spark.createDataFrame([(i, i)], "k int, v int"), ["k"])
     assert sorted(n for n in os.listdir(base) if n.startswith("v")) == ["v000000003", "v000000004"]
     assert layers.read_upserted(spark, base).count() == 4
+
+
+def test_files_of_a_folder_have_their_own_delimiter(spark, folder):
+    write(folder, "a b.csv", "Date,GSCPI\n2024-01,1\n2024-02,2\n")
+    write(folder, "b.tsv", "\ndate\tgscpi\tnote\n2024-03\t3\tx, y\n")
+    write(folder, "c.csv", "GSCPI,Date\n4,2024-04\n")
+    write(folder, "d{1}.csv", "")
+    rows = payloads.read_delimited(spark, folder)
+    out = payloads.normalize_index_file(rows, source="s", code="GSCPI", name="n").orderBy("as_of_date").collect()
+    assert [(str(r.as_of_date), r.value) for r in out] == [(f"2024-0{k}-01", float(k)) for k in (1, 2, 3, 4)]
