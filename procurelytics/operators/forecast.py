@@ -96,21 +96,26 @@ def _z(level: float) -> float:
 
 
 # --- trend and season by least squares -----------------------------------------------
-def _waves(angle: Column, orders: int) -> list[Column]:
-    return [f(angle * k) for k in range(1, orders + 1) for f in (F.sin, F.cos)]
+def _waves(angle: Column, orders, cosine_only=()) -> list[Column]:
+    return [f(angle * k) for k in orders for f in ((F.cos,) if k in cosine_only else (F.sin, F.cos))]
 
 
-def design_rows(rows: DataFrame, regressors, *, yearly=3, quarterly=1, events=True) -> DataFrame:
+def design_rows(rows: DataFrame, regressors, *, yearly=6, quarterly=1, events=True) -> DataFrame:
     """Adds the design vector ``x``: 1, years since the series began, yearly and quarterly
     waves, calendar event flags, regressors; ``parts`` holds the sizes of these blocks.
-    Monthly rows carry only the first wave of a 91.25-day season; higher ones alias."""
+    Monthly rows carry five yearly orders and the cosine of the sixth, whose sine is nil at
+    month starts; together they fit any month of the year.  Of a 91.25-day season they carry
+    only the first wave, which coincides with the fourth yearly order: where both are asked
+    for, that order stands once, in the quarterly block.  Higher ones alias."""
     first = F.min("month").over(Window.partitionBy("series"))
     years = F.datediff("month", first) / 365.25
     days = F.datediff(F.col("month"), F.lit("1970-01-01").cast("date"))
+    year, quarter = days * (2 * math.pi / 365.25), days * (2 * math.pi / 91.25)
+    shared = [k for k in range(1, quarterly + 1) if 4 * k <= yearly]
     blocks = [
         [F.lit(1.0), years],
-        _waves(days * (2 * math.pi / 365.25), yearly),
-        _waves(days * (2 * math.pi / 91.25), quarterly),
+        _waves(year, [k for k in range(1, yearly + 1) if k not in [4 * q for q in shared]], cosine_only=(6,)),
+        _waves(year * 4, shared) + _waves(quarter, [k for k in range(1, quarterly + 1) if k not in shared]),
         [c.cast("double") for c in event_flags(F.col("month")).values()] if events else [],
         [F.coalesce(F.col(r).cast("double"), F.lit(0.0)) for r in regressors],
     ]
@@ -149,7 +154,7 @@ FOURIER_SCHEMA = (
 )
 
 
-def forecast_fourier(df: DataFrame, *, series=None, y=VALUE, regressors=(), horizon=12, level=0.95, yearly=3, quarterly=1,
+def forecast_fourier(df: DataFrame, *, series=None, y=VALUE, regressors=(), horizon=12, level=0.95, yearly=6, quarterly=1,
                      events=True, penalty=1.0) -> DataFrame:
     """Trend, yearly and quarterly season, calendar events and regressors per series;
     fitted months and the next ``horizon`` ones, with an interval from the residuals."""
@@ -183,7 +188,7 @@ CV_SCHEMA = (
 
 
 def forecast_cv(df: DataFrame, *, series=None, y=VALUE, regressors=(), initial=730, period=90, horizon=90, level=0.95,
-                yearly=3, quarterly=1, events=True, penalty=1.0) -> DataFrame:
+                yearly=6, quarterly=1, events=True, penalty=1.0) -> DataFrame:
     """Rolling-origin check of the same model: cutoffs every ``period`` days back from the
     end, each with at least ``initial`` days before it and ``horizon`` days after it.
     No row after a cutoff enters its fit."""

@@ -155,3 +155,17 @@ def test_ar_goes_by_month_and_keeps_all_rows(spark):
     assert len(out) == 93 + 12 and out["forecast_demand_usd"].isna().sum() >= 12
     ahead = out[out["is_forecast"]]["forecast_demand_usd"].to_numpy()
     assert np.abs(ahead / value[96:] - 1).mean() < 0.05
+
+
+def test_fourier_carries_one_sharp_month_a_year(spark):
+    pdf = planted("a", 96)
+    june = pd.to_datetime(pdf["month"]).dt.month == 6
+    pdf.loc[june, "total_obligations_usd"] *= 4
+    rows = spark.createDataFrame(pdf, SCHEMA)
+    out = forecast.forecast_fourier(rows, series="series").where("is_forecast").orderBy("month").toPandas()
+    want = future() * np.where(pd.to_datetime(out["month"]).dt.month == 6, 4, 1)
+    assert np.abs(out["forecast_demand_usd"] / want - 1).max() < 0.04
+    assert (out["forecast_upper"] / out["forecast_lower"]).max() < 1.1
+    assert out["fiscal_quarterly_seasonality"].abs().max() > 0.1
+    metrics = forecast.forecast_metrics(forecast.forecast_cv(rows, series="series")).first()
+    assert metrics.mape_pct < 2.5
