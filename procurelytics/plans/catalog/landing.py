@@ -227,6 +227,18 @@ def upsert_indicators(spark, d):
     return shown(layers.upsert(target, source, schemas.INDICATOR_KEYS), "indicator_code", "as_of_date", "value")
 
 
+@query("upsert_indicators_whole", sql("price_ind", """
+SELECT indicator_code, as_of_date, CASE WHEN quarter(as_of_date) = 4 THEN value * 2 ELSE value END AS value FROM price_ind""", doubles="value"))
+def upsert_indicators_whole(spark, d):
+    """Target: all rows but the fourth quarters of 2001.  Source: every fourth quarter, with new values;
+    it brings back those the target lacks, so no row of the table is in neither."""
+    rows = B.price_indicators(spark, d)
+    fourth = F.quarter("as_of_date") == 4
+    target = rows.where(~(fourth & (F.year("as_of_date") == 2001)))
+    source = rows.where(fourth).withColumn("value", F.col("value") * 2)
+    return shown(layers.upsert(target, source, schemas.INDICATOR_KEYS), "indicator_code", "as_of_date", "value")
+
+
 @query("with_audit", sql("contracts", "SELECT contract_id, vendor_name, 'orders' AS source_system, 'VALID' AS data_quality_flag FROM contracts", ints="contract_id"))
 def with_audit(spark, d):
     return shown(layers.with_audit(B.contracts(spark, d), "orders"), "contract_id", "vendor_name", "source_system", "data_quality_flag")

@@ -254,3 +254,11 @@ def test_files_of_a_folder_have_their_own_delimiter(spark, folder):
     rows = payloads.read_delimited(spark, folder)
     out = payloads.normalize_index_file(rows, source="s", code="GSCPI", name="n").orderBy("as_of_date").collect()
     assert [(str(r.as_of_date), r.value) for r in out] == [(f"2024-0{k}-01", float(k)) for k in (1, 2, 3, 4)]
+
+
+def test_upsert_query_covers_its_whole_table(spark):
+    from procurelytics.plans import bindings
+    from procurelytics.plans.catalog import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    assert QUERIES["upsert_indicators_whole"](spark, folder).count() == bindings.price_indicators(spark, folder).count() > QUERIES["upsert_indicators"](spark, folder).count()
