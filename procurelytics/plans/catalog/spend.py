@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from procurelytics.operators import ranking, rollups, search
+from procurelytics.operators import ordering, ranking, rollups, search
 from procurelytics.plans import bindings as B
 from procurelytics.plans.catalog import views as V
 from procurelytics.plans.registry import query, shown, sql
@@ -158,3 +158,22 @@ WHERE effective_date >= DATE '2000-08-01' GROUP BY 1""", ints="contract_count",
 def last_months(spark, d):
     rows = ranking.last_months(B.contracts(spark, d), "effective_date", 12, B.as_of())
     return shown(rollups.group_summary(rows, "psc_code", {"contract_count": F.count("*"), "total_obligated": F.sum("obligated_amount")}))
+
+
+# --- places in the order of the whole table ---------------------------------------------
+@query("award_percent_rank", sql("contracts", """
+SELECT contract_id, obligated_amount, rank() OVER w AS rank, percent_rank() OVER w * 25 AS rank_points
+FROM contracts WINDOW w AS (ORDER BY obligated_amount)""", ints="rank", doubles="obligated_amount rank_points"))
+def award_percent_rank(spark, d):
+    rows = ordering.in_order(B.contracts(spark, d).select("contract_id", "obligated_amount"), "obligated_amount")
+    return shown(rows.withColumn("rank_points", ordering.percent_rank(rows) * 25), "contract_id", "obligated_amount", "rank", "rank_points")
+
+
+@query("award_running_share", sql("contracts", """
+SELECT contract_id, psc_code, row_number() OVER w AS position, sum(obligated_amount) OVER (w ROWS UNBOUNDED PRECEDING) / sum(obligated_amount) OVER (PARTITION BY psc_code) * 100 AS cumulative_pct
+FROM contracts WINDOW w AS (PARTITION BY psc_code ORDER BY obligated_amount DESC, contract_id)""", ints="position", doubles="cumulative_pct"))
+def award_running_share(spark, d):
+    rows = B.contracts(spark, d).select("contract_id", "psc_code", "obligated_amount")
+    out = ordering.in_order(rows, [F.col("obligated_amount").desc(), F.col("contract_id")], by="psc_code", running=["obligated_amount"])
+    share = F.try_divide(F.col("running_obligated_amount"), F.col("total_obligated_amount")) * 100
+    return shown(out.withColumn("cumulative_pct", share), "contract_id", "psc_code", "position", "cumulative_pct")
