@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from procurelytics.llm import language, near_dup, packing, quality, suffix_dedup, tokens, trie_bpe, voronoi, warc, wrapper
+from procurelytics.llm import bin_slack, language, merkle, near_dup, packing, quality, repair, suffix_dedup, tokens, trie_bpe, voronoi, warc, wrapper
 from procurelytics.llm.common import table
 
 QUERIES = {
@@ -15,6 +15,9 @@ QUERIES = {
     "op6_warc": lambda spark, folder: warc.warc_rows(table(spark, folder, "pages")),
     "op8_bpe_encoding": lambda spark, folder: trie_bpe.encoding_rows(table(spark, folder, "documents")),
     "op9_language_id": lambda spark, folder: language.language_rows(table(spark, folder, "documents")),
+    "op11_conversation_repair": lambda spark, folder: repair.repair_rows(table(spark, folder, "conversations")),
+    "op12_merkle_manifest": lambda spark, folder: merkle.manifest_rows(table(spark, folder, "documents")),
+    "op13_best_fit_packing": lambda spark, folder: bin_slack.bin_slack_rows(table(spark, folder, "documents")),
     "op10_packing": lambda spark, folder: packing.packing_rows(table(spark, folder, "documents")),
 }
-ORACLES = {"op1_exact_search": voronoi.SQL, "op6_warc": warc.SQL, "op7_quality_rules": quality.SQL}
+ORACLES = {"op1_exact_search": voronoi.SQL, "op6_warc": warc.SQL, "op7_quality_rules": quality.SQL, "op12_merkle_manifest": merkle.SQL}

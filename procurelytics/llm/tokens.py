@@ -8,7 +8,6 @@ from __future__ import annotations
 import re
 from array import array
 from collections import Counter
-from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +28,6 @@ _S = "\t-\r \u0085 "
 _LATIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 _BEYOND = re.compile("[^\x00-ɏ]")
 _ANY = regex.compile(PATTERN)
-#: Pre-tokens a worker remembers; the memory is emptied when full, results do not depend on it.
-REMEMBERED = 800_000
 
 
 #: Longer texts are cut into pre-tokens step by step.
@@ -72,30 +69,25 @@ def _encoding(vocabulary: str):
     return _ENCODERS[vocabulary]
 
 
-_REMEMBERED: dict = {}
+#: Runs of white space from this length on are too deep for the library's pattern matcher.
+DEEP_RUN = 100_000
+_DEEP = re.compile(r"\s{%d}" % DEEP_RUN)
 
 
-def byte_encoder(vocabulary: str = VOCABULARY):
-    """text -> ids (uint32), each distinct pre-token encoded once per worker."""
-    encoding = _encoding(vocabulary)
-    known = _REMEMBERED.setdefault(vocabulary, {})
+def _ids_of(encoding, text: str) -> bytes:
+    """The ids of a text without special strings."""
+    if len(text) < DEEP_RUN or not _DEEP.search(text):
+        return array("I", encoding.encode_ordinary(text)).tobytes()
+    return b"".join(array("I", encoding._encode_single_piece(piece.encode("utf-8"))).tobytes() for piece in pre_tokens(text))
 
-    def some(pieces) -> bytes:
-        fresh = set(pieces).difference(known)
-        if fresh:
-            if len(known) + len(fresh) > REMEMBERED:
-                known.clear()
-                fresh = set(pieces)
-            for piece in fresh:
-                known[piece] = array("I", encoding.encode_ordinary(piece)).tobytes()
-        return b"".join(map(known.__getitem__, pieces))
 
-    def part(text: str) -> bytes:
-        return b"".join(map(some, batched(pre_tokens(text), 200_000)))
+def byte_encoder(vocabulary: str = VOCABULARY):
+    """text -> ids (uint32); nothing is kept between texts."""
+    encoding = _encoding(vocabulary)
+    end = END_OF_TEXT_ID.to_bytes(4, "little")
 
     def encode(text: str) -> np.ndarray:
-        end = END_OF_TEXT_ID.to_bytes(4, "little")
-        return np.frombuffer(end.join(map(part, split_special(text))), dtype="<u4")
+        return np.frombuffer(end.join(_ids_of(encoding, part) for part in split_special(text)), dtype="<u4")
 
     return encode
 
@@ -188,7 +180,7 @@ def _weighted(vocabulary: str):
                     continue
                 if token != last:
                     last = token
-                    pieces = 1 if token == END_OF_TEXT.encode() else len(encoding.encode_ordinary(token.decode("utf-8")))
+                    pieces = 1 if token == END_OF_TEXT.encode() else len(encoding._encode_single_piece(token))
                 pair = np.frombuffer(blob, _POSTING)
                 total, top = sums.get(chunk), int(pair["doc"].max()) + 1
                 if total is None or len(total) < top:

@@ -120,3 +120,13 @@ def test_repeated_rows_missing_ids_and_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     for f, n in ((tokens.token_rows, 3), (trie_bpe.encoding_rows, 3), (packing.packing_rows, 3)):
         assert sorted(str(r["doc_id"]) for r in f(df).collect()) == ["1", "1", "None"] and f(df).count() == n and f(empty).count() == 0
+
+
+def test_very_long_runs_of_blanks(spark):
+    texts = [" " * 1_000_000, "a" + " " * 999_999 + "b\n" + "\n" * 300_000 + " é", "x " * 200_000]
+    df, t = spark.createDataFrame([(i, x, "", None) for i, x in enumerate(texts)], SCHEMA), library(tokens.VOCABULARY)
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    encode = tokens.byte_encoder()
+    assert [list(encode(x)) for x in texts] == want
+    assert {r["doc_id"]: r["n_tokens"] for r in tokens.token_rows(df).collect()} == {i: len(w) for i, w in enumerate(want)}
+    assert {r["doc_id"]: r["doc_tokens"] for r in packing.packing_rows(df).collect()} == {i: len(w) + 1 for i, w in enumerate(want)}
