@@ -145,7 +145,7 @@ def pack_whole(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     spans = stored.groupBy("length", "task").agg(F.count("*").alias("n")).withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
     spans = cut_lineage(spans)
-    plan = spans.groupBy("length").agg(F.sum("n").alias("n")).groupBy(F.lit(0)).applyInArrow(_planned(capacity), _PLAN)  # at most ``capacity`` rows
+    plan = spans.groupBy("length").agg(F.sum("n").alias("n")).withColumn("all", F.lit(0)).groupBy("all").applyInArrow(_planned(capacity), _PLAN)  # at most ``capacity`` rows
     found = spans.groupBy("length").cogroup(plan.groupBy("length")).applyInArrow(_stretches, _STRETCHES)
     mine = F.filter("stretches", lambda s: (F.col("place") >= s["low"]) & (F.col("place") < s["high"]))
     rows = stored.join(found, ["length", "task"]).withColumn("_s", F.get(mine, F.lit(0)))
