@@ -8,6 +8,8 @@ of its length is its place in its task plus the number in the tasks before it.
 
 from __future__ import annotations
 
+from zlib import crc32
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -68,14 +70,15 @@ def plan_bins(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int
 
 
 # --- rows -----------------------------------------------------------------------------------
-PIECES = "doc_id long, piece int, start long, length long, ids binary, doc_tokens long, task long, place long"
+PIECES = "doc_id long, piece int, start long, length long, ids binary, ids_crc32 long, doc_tokens long, task long, place long"
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
-                     ("doc_tokens", pa.int64()), ("task", pa.int64()), ("place", pa.int64())])
+                     ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("task", pa.int64()), ("place", pa.int64())])
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The pieces of every document: one, or several of ``capacity`` ids of which the first may be shorter.
-    ``place`` counts the pieces of the same length in the same task."""
+    ``ids`` are little-endian unsigned 16-bit numbers, which hold this vocabulary; ``ids_crc32`` is the checksum of
+    the same ids as 32-bit numbers.  ``place`` counts the pieces of the same length in the same task."""
     bounded_batches(docs.sparkSession)
 
     def run(batches):
@@ -94,9 +97,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 for piece in range(-(-len(ids) // capacity)):
                     length = (len(ids) - 1) % capacity + 1 if piece == 0 else capacity
                     places[length] = places.get(length, -1) + 1
-                    out.append((doc, piece, start, length, ids[start : start + length].tobytes(), len(ids), task, places[length]))
+                    own = ids[start : start + length]
+                    out.append((doc, piece, start, length, own.astype("<u2").tobytes(), crc32(own.tobytes()), len(ids), task, places[length]))
                     start += length
-                    held += length * 4
+                    held += length * 2
                 if held >= BATCH_BYTES:
                     yield frame()
                     held = 0
@@ -137,7 +141,7 @@ def _stretches(spans: pa.Table, plan: pa.Table) -> pa.Table:
 def pack_whole(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Pack all documents into as few sequences of at most ``capacity`` ids as the bins find.
 
-    One row per piece: doc_id, piece, start, length, ids (little-endian unsigned 32-bit), doc_tokens,
+    One row per piece: doc_id, piece, start, length, ids and ids_crc32 (see ``pieces``), doc_tokens,
     sequence_id, offset.  A NULL or empty text is one piece that holds the end id alone; a NULL doc_id
     stays NULL; repeated rows are packed as separate documents; other columns are not read; an empty
     table gives no rows.  The pieces are stored once: a task that runs again finds the same places."""
@@ -151,12 +155,12 @@ def pack_whole(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     rows = stored.join(found, ["length", "task"]).withColumn("_s", F.get(mine, F.lit(0)))
     rank = F.col("place") + F.col("_s.shift")
     return rows.select(
-        "doc_id", "piece", "start", "length", "ids", "doc_tokens",
+        "doc_id", "piece", "start", "length", "ids", "ids_crc32", "doc_tokens",
         (F.col("_s.bin") + F.floor(rank / F.col("_s.number"))).alias("sequence_id"),
         (F.col("_s.at") + rank % F.col("_s.number") * F.col("length")).alias("offset"),
     )
 
 
 def bin_slack_rows(docs: DataFrame) -> DataFrame:
-    """The packed pieces with a checksum of their ids."""
-    return pack_whole(docs).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    """The packed pieces with the checksum of their ids; the ids themselves stay where they were stored."""
+    return pack_whole(docs).drop("ids")

@@ -116,5 +116,7 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(1, "a b", "", ""), (1, "a b", "", ""), (None, None, None, None)], SCHEMA)
     got = bin_slack.bin_slack_rows(df).collect()
     assert sorted((str(r["doc_id"]), r["piece"], r["length"]) for r in got) == [("1", 0, 3), ("1", 0, 3), ("None", 0, 1)]
+    ids = {(r["doc_id"], r["length"]): np.frombuffer(r["ids"], "<u2").tolist() for r in bin_slack.pack_whole(df).collect()}
+    assert ids == {(1, 3): [64, 275, 0], (None, 1): [0]}
     assert {r["sequence_id"] for r in got} == {0} and sorted(r["offset"] for r in got) == [0, 3, 6]
     assert bin_slack.bin_slack_rows(spark.createDataFrame([], SCHEMA)).count() == 0
