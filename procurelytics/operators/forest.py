@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from procurelytics.operators.features import TARGET, demand_features, feature_columns, season_columns, temporal_split
+from procurelytics.operators import trees
+from procurelytics.operators.features import TARGET, demand_features, feature_columns, temporal_split
 from procurelytics.operators.ranking import as_list, series_window
 from procurelytics.session import cut_lineage
 from procurelytics.sources.tables import literal_rows
@@ -48,28 +51,16 @@ def rf_importance(spark: SparkSession, model: RandomForestRegressionModel, names
     return literal_rows(spark, rows, ["feature", "importance", "model_type", "rank"])
 
 
-def _percentile(ordered: Column, share: float) -> Column:
-    """The interpolated percentile of a sorted array."""
-    place = (F.size(ordered) - 1) * F.lit(share)
-    low = F.floor(place).cast("int")
-    below, above = F.get(ordered, low), F.coalesce(F.get(ordered, low + 1), F.get(ordered, low))
-    return below + (above - below) * (place - low)
+def rf_intervals(model: RandomForestRegressionModel, df: DataFrame, names, *, level=0.95) -> DataFrame:
+    """Forecast with the lower and upper percentile of the single trees' predictions: all trees are walked
+    in one pass over the row, nothing is shuffled."""
+    return trees.with_intervals(df, trees.flatten(df.sparkSession, model), names, level=level).withColumn("tree_mean", F.col("forecast_demand_usd"))
 
 
-def rf_intervals(model: RandomForestRegressionModel, df: DataFrame, names, *, level=0.95) -> DataFrame:
-    """Forecast with the lower and upper percentile of the single trees' predictions.  Every tree
-    predicts inside the row, so nothing is shuffled and a popular leaf is no hot key."""
-    rows, single = model.transform(assemble(df, names)), []
-    for i, tree in enumerate(model.trees):
-        single.append(f"_tree_{i}")
-        rows = tree.setFeaturesCol(VECTOR).setPredictionCol(single[-1]).transform(rows)
-    kept = [c for c in rows.columns if c not in {VECTOR, *single}]
-    rows = rows.select(*kept, F.explode(F.array(F.sort_array(F.array(*single)))).alias("_votes"))
-    tail = (1 - level) / 2
-    return rows.withColumns({
-        "forecast_lower": _percentile(F.col("_votes"), tail), "forecast_upper": _percentile(F.col("_votes"), 1 - tail),
-        "tree_mean": _mean(F.col("_votes")),
-    }).drop("_votes")
+def rf_shap(model: RandomForestRegressionModel, df: DataFrame, names) -> DataFrame:
+    """Rows with their forecast, base value and Shapley values per feature."""
+    flat = trees.flatten(df.sparkSession, model)
+    return trees.shap_values(trees.with_intervals(df, flat, names), flat, names)
 
 
 def permutation_importance(model: RandomForestRegressionModel, df: DataFrame, names, *, series=None, target=TARGET, seed=7) -> DataFrame:
@@ -99,32 +90,25 @@ def _mean(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)
 
 
-def _step_features(ys: Column, month: Column, start: Column, carried) -> dict:
-    """The features of ``month`` from the twelve values before it (oldest first)."""
-    def back(k):
-        return F.element_at(ys, -k)
-
-    out = {f"demand_lag_{k}m": back(k) for k in (1, 3, 6, 12)}
+def _step_features(ys: np.ndarray, month: pd.Series, start: pd.Series, carried: dict) -> dict:
+    """The features of ``month`` from the twelve values before it (oldest first); a row per series."""
+    out = {f"demand_lag_{k}m": ys[:, -k] for k in (1, 3, 6, 12)}
     for k in (3, 6, 12):
-        last = F.slice(ys, -k, k)
-        mean = _mean(last)
-        squares = F.aggregate(F.transform(last, lambda v: F.pow(v - mean, 2)), F.lit(0.0), lambda a, x: a + x)
-        out[f"demand_rolling_mean_{k}m"] = mean
-        out[f"demand_rolling_std_{k}m"] = F.sqrt(squares / (k - 1))
-        out[f"demand_rolling_min_{k}m"] = F.array_min(last)
-        out[f"demand_rolling_max_{k}m"] = F.array_max(last)
-    out["demand_trend_3m"] = back(1) - back(3)
-    out["demand_trend_6m"] = back(1) - back(6)
-    out["months_since_start"] = F.datediff(month, start) / 30.44
+        last = ys[:, -k:]
+        out |= {f"demand_rolling_mean_{k}m": last.mean(axis=1), f"demand_rolling_std_{k}m": last.std(axis=1, ddof=1),
+                f"demand_rolling_min_{k}m": last.min(axis=1), f"demand_rolling_max_{k}m": last.max(axis=1)}
+    out["demand_trend_3m"], out["demand_trend_6m"] = ys[:, -1] - ys[:, -3], ys[:, -1] - ys[:, -6]
+    out["months_since_start"] = (month - start).dt.days.to_numpy() / 30.44
+    number = month.dt.month.to_numpy()
+    quarter = (number - 1) // 3 + 1
+    out |= {"month_of_year": number, "quarter": quarter, "is_q4": quarter == 4, "month_sin": np.sin(2 * np.pi * number / 12), "month_cos": np.cos(2 * np.pi * number / 12)}
     if {"geo_risk_index", "tariff_risk_index"} <= set(carried):
-        out["combined_risk_interaction"] = F.col("geo_risk_index") * F.col("tariff_risk_index")
-        out["geo_risk_lag_1m"] = F.col("geo_risk_index")
-        out["tariff_risk_lag_1m"] = F.col("tariff_risk_index")
+        out["combined_risk_interaction"] = carried["geo_risk_index"] * carried["tariff_risk_index"]
+        out["geo_risk_lag_1m"], out["tariff_risk_lag_1m"] = carried["geo_risk_index"], carried["tariff_risk_index"]
     if "commodity_cost_pressure" in carried:
-        out["commodity_lag_1m"] = F.col("commodity_cost_pressure")
-        out["commodity_trend_3m"] = F.lit(0.0)
+        out["commodity_lag_1m"], out["commodity_trend_3m"] = carried["commodity_cost_pressure"], np.zeros(len(ys))
     if "weather_disruption_index" in carried:
-        out["weather_lag_1m"] = F.col("weather_disruption_index")
+        out["weather_lag_1m"] = carried["weather_disruption_index"]
     return out
 
 
@@ -132,9 +116,8 @@ def forecast_rf_recursive(model: RandomForestRegressionModel, history: DataFrame
                           months=12, margin=0.15) -> DataFrame:
     """The next ``months`` months, each predicted from the values before it, predicted ones
     included, with the features of the month itself.  A series is one row holding its
-    last twelve values, so a step shuffles nothing; its result is written to the shared
-    folder, which keeps the plan short and survives lost executors.  A series of less than twelve
-    months is led by its mean.  Other columns stay
+    last twelve values; all steps of many series run in one pass over the flattened trees, so no step is
+    stored.  A series of less than twelve months is led by its mean.  Other columns stay
     at their last value; the interval is plus and minus ``margin``."""
     keys = as_list(series)
     made = {"month_of_year", "quarter", "is_q4", "month_sin", "month_cos"}
@@ -146,20 +129,21 @@ def forecast_rf_recursive(model: RandomForestRegressionModel, history: DataFrame
     state = recent.groupBy(*keys).agg(
         F.max("month").alias("_last"), F.min("_start").alias("_start"), ordered.alias("_ys"),
         *[F.max_by(c, "month").alias(c) for c in carried],
-    ).withColumn("_ys", F.concat(F.array_repeat(_mean(F.col("_ys")), 12 - F.size("_ys")), F.col("_ys"))).withColumn("_out", F.array().cast("array<struct<month:date,y:double>>"))
-    base = [*keys, "_last", "_start", *carried]
-    for step in range(1, months + 1):
-        month = F.add_months("_last", step)
-        now = state.withColumn("month", month)
-        made_now = {**season_columns("month"), **_step_features(F.col("_ys"), F.col("month"), F.col("_start"), carried)}
-        vector = F.array(*[made_now.get(n, F.col(n) if n in now.columns else None).cast("double") for n in names])
-        predicted = model.transform(now.withColumn(VECTOR, array_to_vector(vector)))
-        y = F.col("forecast_demand_usd")
-        state = cut_lineage(predicted.select(
-            *base,
-            F.slice(F.concat("_ys", F.array(y)), 2, 12).alias("_ys"),
-            F.concat("_out", F.array(F.struct(F.col("month"), y.alias("y")))).alias("_out"),
-        ))
+    ).withColumn("_ys", F.concat(F.array_repeat(_mean(F.col("_ys")), 12 - F.size("_ys")), F.col("_ys")))
+    flat = trees.flatten(history.sparkSession, model)
+
+    @F.pandas_udf("array<double>")
+    def ahead(ys: pd.Series, last: pd.Series, start: pd.Series, held: pd.Series) -> pd.Series:
+        path, last, start = np.array([np.asarray(v, float) for v in ys]).reshape(len(ys), 12), pd.to_datetime(last), pd.to_datetime(start)
+        kept = dict(zip(carried, np.array([np.asarray(v, float) for v in held]).reshape(len(ys), len(carried)).T))
+        for step in range(1, months + 1):
+            made_now = _step_features(path[:, -12:], last + pd.DateOffset(months=step), start, kept)
+            x = np.column_stack([made_now.get(n, kept.get(n)) for n in names])
+            path = np.column_stack([path, flat.votes(x.astype(float)).mean(axis=1)])
+        return pd.Series(list(path[:, 12:]))
+
+    values = ahead("_ys", "_last", "_start", F.array(*[F.col(c).cast("double") for c in carried]).cast("array<double>"))
+    state = state.withColumn("_values", values).select(*keys, F.transform("_values", lambda y, i: F.struct(F.add_months("_last", i + 1).alias("month"), y.alias("y"))).alias("_out"))
     value = F.col("o.y")
     return state.select(*keys, F.explode("_out").alias("o")).select(
         *keys, F.col("o.month").alias("month"), value.alias("forecast_demand_usd"),

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from procurelytics import constants as K
 from procurelytics.functions.bands import band, clamp, ladder
+from procurelytics.functions.stats import correlation_p_value
 from procurelytics.operators.ranking import (
     as_list, future_head, latest_period, one_row, series_window, tail_n, with_age,
 )
@@ -126,7 +127,7 @@ def forecast_confidence(signals: DataFrame, *, as_of: Column, months=12, series=
         + F.col("risk_score") * 0.25 + F.col("recency_score") * 0.10
     )
     return scored.withColumns({
-        "t_statistic": t, "overall": overall, "confidence": band(overall, K.CONFIDENCE_BANDS, "LOW"),
+        "t_statistic": t, "p_value": correlation_p_value(F.col("r2"), F.col("months_used")), "overall": overall, "confidence": band(overall, K.CONFIDENCE_BANDS, "LOW"),
     })
 
 
@@ -157,6 +158,7 @@ def trend_growth(signals: DataFrame, *, lookback=12, series=None) -> DataFrame:
         "direction": F.when(F.col("slope") > 0, "Increasing").otherwise("Decreasing"),
         "monthly_growth_pct": monthly,
         "annualized_growth_pct": monthly * 12,
+        "p_value": correlation_p_value(F.col("r2"), F.col("months_used")),
     })
 
 
@@ -190,14 +192,23 @@ def volatility_swings(signals: DataFrame, value=VALUE, order="month", *, lookbac
 
 def risk_correlations(signals: DataFrame, *, lookback=12, series=None,
                       columns=("geo_risk_index", "tariff_risk_index", "commodity_cost_pressure")) -> DataFrame:
-    """Correlation of demand with each risk column; a constant column gives no row."""
+    """Correlation of demand with each risk column, with its two-sided p-value; a constant column gives no row."""
     keys = as_list(series)
     aged = with_age(signals, series=series).where(F.col("age") <= lookback)
-    wide = aged.groupBy(*keys).agg(*[F.corr(VALUE, c).alias(c) for c in columns])
-    pairs = F.array(*[F.struct(F.lit(c).alias("risk"), F.col(c).alias("correlation")) for c in columns])
+    both = {c: F.col(VALUE).isNotNull() & F.col(c).isNotNull() for c in columns}
+
+    def correlation(c):
+        y, x = F.when(both[c], F.col(VALUE)), F.when(both[c], F.col(c))
+        return F.try_divide(F.covar_pop(y, x), F.stddev_pop(y) * F.stddev_pop(x)).alias(c)
+
+    wide = aged.groupBy(*keys).agg(*[correlation(c) for c in columns], *[F.count_if(there).alias(f"n_{c}") for c, there in both.items()])
+    pairs = F.array(*[F.struct(F.lit(c).alias("risk"), F.col(c).alias("correlation"), F.col(f"n_{c}").alias("n_pairs")) for c in columns])
     long = wide.select(*keys, F.inline(pairs))
     valid = long.where(F.col("correlation").isNotNull() & ~F.isnan("correlation"))
-    return valid.withColumn("strength", band(F.abs("correlation"), K.CORRELATION_BANDS, "Weak"))
+    return valid.withColumns({
+        "strength": band(F.abs("correlation"), K.CORRELATION_BANDS, "Weak"),
+        "p_value": correlation_p_value(F.col("correlation") * F.col("correlation"), F.col("n_pairs")),
+    })
 
 
 def macro_context(indicators: DataFrame, *, codes=None, tail=5, pressure_codes=("GSCPI",)) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from procurelytics import constants as K
 from procurelytics.functions import dates
-from procurelytics.operators import features, forecast, forest, intermittent, rollups
+from procurelytics.operators import arima, changepoints, features, forecast, forest, intermittent, rollups, trees
 from procurelytics.plans import bindings as B
 from procurelytics.plans.catalog import views as V
 from procurelytics.plans.registry import cte, query, shown, sql
@@ -161,6 +161,16 @@ def forecast_ar(spark, d):
     return shown(forecast.forecast_ar(B.vendor_demand(spark, d), series="series"))
 
 
+@query("forecast_arima")
+def forecast_arima(spark, d):
+    return shown(arima.forecast_arima(B.type_demand(spark, d), series="series", exog=EXOG))
+
+
+@query("forecast_changepoints")
+def forecast_changepoints(spark, d):
+    return shown(changepoints.forecast_changepoints(B.vendor_demand(spark, d), series="series"))
+
+
 def _forest(spark, d):
     rows, names = forest.prepare(B.type_demand(spark, d), series="series")
     return rows, names, forest.fit_rf(rows.where(F.col("split") == "TRAIN"), names)
@@ -192,6 +202,21 @@ def rf_importance(spark, d):
     return shown(forest.rf_importance(spark, model, names))
 
 
+@query("shap_importance")
+def shap_importance(spark, d):
+    rows, names, model = _forest(spark, d)
+    explained = forest.rf_shap(model, rows.where(F.col("split") == "TEST"), names)
+    return shown(trees.shap_importance(explained, names))
+
+
+@query("shap_values")
+def shap_values(spark, d):
+    rows, names, model = _forest(spark, d)
+    explained = forest.rf_shap(model, rows.where(F.col("split") == "TEST"), names)
+    named = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("feature"), F.col("shap").alias("value"))
+    return shown(explained.select("series", "month", "forecast_demand_usd", "base_value", F.inline(named)))
+
+
 @query("permutation_importance")
 def permutation_importance(spark, d):
     rows, names, model = _forest(spark, d)

@@ -61,7 +61,7 @@ SELECT stddev_pop(y) / avg(y) AS cv, regr_r2(y, x) AS r2, max(month) AS last_mon
 FROM last12))""", ints="days_since_last months_used",
                                   doubles="cv r2 stability_score trend_score risk_score recency_score overall t_statistic"))
 def forecast_confidence(spark, d):
-    return shown(insights.forecast_confidence(B.demand_signals(spark, d), as_of=F.lit("2001-08-15").cast("date")))
+    return shown(insights.forecast_confidence(B.demand_signals(spark, d), as_of=F.lit("2001-08-15").cast("date")).drop("p_value"))
 
 
 # --- trends --------------------------------------------------------------------------
@@ -82,7 +82,45 @@ SELECT series, regr_slope(y, -age) AS slope, regr_r2(y, -age) AS r2, avg(y) AS m
 FROM vendor_aged WHERE age <= 12 GROUP BY 1)""", ints="series months_used",
                            doubles="slope r2 mean_demand monthly_growth_pct annualized_growth_pct"))
 def trend_growth(spark, d):
-    return shown(insights.trend_growth(B.vendor_demand(spark, d), series="series"))
+    return shown(insights.trend_growth(B.vendor_demand(spark, d), series="series").drop("p_value"))
+
+
+def t_tail(r2: str, n: str) -> str:
+    """The two-sided tail of Student's t with n - 2 degrees of freedom as the finite sums that hold for whole ones."""
+    even = f"sqrt({r2}) * coalesce(list_sum(list_transform(range(0, ({n} - 2) // 2), lambda k: exp(lgamma(k + 0.5) - lgamma(k + 1)) / sqrt(pi()) * pow(1 - {r2}, k))), 0)"
+    odd = (f"2 / pi() * (asin(sqrt({r2})) + sqrt({r2} * (1 - {r2})) * coalesce(list_sum(list_transform(range(0, ({n} - 3) // 2), "
+           f"lambda k: exp(lgamma(k + 1) - lgamma(k + 1.5)) * sqrt(pi()) / 2 * pow(1 - {r2}, k))), 0))")
+    return f"CASE WHEN {n} > 2 THEN 1 - CASE WHEN {n} % 2 = 0 THEN {even} ELSE {odd} END END"
+
+
+@query("trend_p_values", sql("vendor_aged", f"""
+SELECT series, lookback, months_used, {t_tail('r2', 'months_used')} AS p_value FROM (
+SELECT series, lookback, regr_r2(y, -age) AS r2, count(y) AS months_used FROM vendor_aged CROSS JOIN (VALUES (12), (25)) l(lookback) WHERE age <= lookback GROUP BY 1, 2)""",
+                             ints="series lookback months_used", doubles="p_value", digits=6))
+def trend_p_values(spark, d):
+    rows = B.vendor_demand(spark, d)
+    parts = [insights.trend_growth(rows, lookback=n, series="series").select("series", F.lit(n).alias("lookback"), "months_used", "p_value") for n in (12, 25)]
+    return shown(parts[0].unionByName(parts[1]), digits=6)
+
+
+RISK_PAIRS = ("geo_risk_index", "tariff_risk_index")
+cte("type_aged", "type_demand", "SELECT *, row_number() OVER (PARTITION BY series ORDER BY month DESC) AS age FROM type_demand")
+
+
+@query("correlation_p_values", sql("type_aged", f"""
+SELECT *, {t_tail('(correlation * correlation)', 'n_pairs')} AS p_value FROM (
+{' UNION ALL '.join(f"SELECT series, '{r}' AS risk, corr(total_obligations_usd, {r}) AS correlation, count(*) FILTER (total_obligations_usd IS NOT NULL AND {r} IS NOT NULL) AS n_pairs FROM type_aged WHERE age <= 25 GROUP BY 1" for r in RISK_PAIRS)}
+) WHERE correlation IS NOT NULL AND NOT isnan(correlation)""", ints="n_pairs", doubles="correlation p_value", digits=6))
+def correlation_p_values(spark, d):
+    out = insights.risk_correlations(B.type_demand(spark, d), lookback=25, series="series", columns=RISK_PAIRS)
+    return shown(out, "series", "risk", "n_pairs", "correlation", "p_value", digits=6)
+
+
+@query("confidence_p_value", sql("last12", f"SELECT max(month) AS last_month, count(y) AS months_used, {t_tail('regr_r2(y, x)', 'count(y)')} AS p_value FROM last12",
+                                 ints="months_used", doubles="p_value", digits=6))
+def confidence_p_value(spark, d):
+    out = insights.forecast_confidence(B.demand_signals(spark, d), as_of=F.lit("2001-08-15").cast("date"))
+    return shown(out, "last_month", "months_used", "p_value", digits=6)
 
 
 @query("seasonality", sql("vendor_aged", f"""
@@ -108,7 +146,7 @@ SELECT *, {V.bands('abs(correlation)', K.CORRELATION_BANDS, 'Weak')} AS strength
 {' UNION ALL '.join(f"SELECT '{r}' AS risk, corr(y, {r}) AS correlation FROM last12" for r in ("geo_risk_index", "tariff_risk_index", "commodity_cost_pressure"))}
 ) WHERE correlation IS NOT NULL AND NOT isnan(correlation)""", doubles="correlation"))
 def risk_correlations(spark, d):
-    return shown(insights.risk_correlations(B.demand_signals(spark, d)))
+    return shown(insights.risk_correlations(B.demand_signals(spark, d)).drop("n_pairs", "p_value"))
 
 
 @query("macro_context", sql("", f"""

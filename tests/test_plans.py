@@ -15,8 +15,8 @@ from procurelytics.sources import payloads
 
 FOLDER = f"{oracle.TESTDATA}/sf0.001"
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-GROUPED = {"forecast_fourier", "forecast_cv", "forecast_ar"}
-FITS = {"forecast_rf", "forecast_rf_recursive", "rf_intervals", "rf_importance", "permutation_importance"}
+GROUPED = {"forecast_fourier", "forecast_cv", "forecast_ar", "forecast_arima", "forecast_changepoints"}
+FITS = {"forecast_rf", "forecast_rf_recursive", "rf_intervals", "rf_importance", "permutation_importance", "shap_importance", "shap_values"}
 
 
 def plan(df):
