@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from procurelytics.llm.common import bounded_batches, whole_text
-from procurelytics.session import scratch_path
+from procurelytics.session import cut_lineage, scratch_path
 
 #: Characters of one chunk, so at most four times as many bytes.
 CHUNK_CHARS = 262_144
@@ -91,7 +91,7 @@ def write_archives(pages: DataFrame, path: str, min_payload: int = 0) -> None:
     # the one shuffle of payloads: repeated page_ids meet, and all that follows is keyed alike
     rows = pages.where("page_id is not null").groupBy(F.col("page_id").cast("long").alias("row")).agg(
         F.min(F.struct(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))).alias("r")).select("row", "r.url", "r.html")
-    digests = payload_digests(chunk_table(rows, "row", "html"))
+    digests = cut_lineage(payload_digests(chunk_table(rows, "row", "html")))  # read twice below, and small
     first = digests.groupBy("payload_digest", "payload_bytes").agg(F.min("row").alias("first"), F.count("*").alias("n")).where(
         (F.col("n") > 1) & (F.col("payload_bytes") >= min_payload)).drop("n")
     known = digests.join(first, ["payload_digest", "payload_bytes"], "left").withColumn("first", F.coalesce("first", "row"))
