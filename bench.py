@@ -15,7 +15,7 @@ HEADLINE = [
     "trade_risk_index", "commodity_enriched", "weather_index", "top_vendors", "top_suppliers", "supplier_concentration",
     "search_contracts", "rolling_demand_stats", "inventory_risk", "dedupe_first", "upsert_indicators", "normalize_awards",
     "detect_anomalies", "demand_features", "health_scores", "executive_briefing", "classify_events", "extract_country",
-    "eval_composite", "forecast_fourier", "forecast_ar", "forecast_rf", "rf_intervals",
+    "eval_composite", "forecast_fourier", "forecast_ar", "forecast_rf", "rf_intervals", "forecast_arima", "forecast_changepoints",
 ]
 
 
