@@ -316,6 +316,14 @@ def notices(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", F.concat_ws(" ", phrase, "text").alias("title"), kind.alias("doc_type"))
 
 
+def phrase_table(spark: SparkSession, d: str) -> DataFrame:
+    """Keyword table: every two neighbouring words of the benchmark's items, long ones first, labelled by item."""
+    items = read_parquet(spark, d, "benchmark").select("item_id", F.split(F.lower("text"), " ").alias("w"))
+    pairs = F.transform(F.slice("w", 1, F.size("w") - 1), lambda word, i: F.concat(word, F.lit(" "), F.get("w", i + 1)))
+    phrases = items.where(F.size("w") > 1).select("item_id", F.explode(pairs).alias("keyword"))
+    return phrases.select((-F.length("keyword")).alias("priority"), "keyword", F.col("item_id").cast("string").alias("label"))
+
+
 EXPECTED_TOOLS = [[], ["get_demand_forecast"], ["query_suppliers", "search_contracts"], ["detect_anomalies", "detect_trends"]]
 ACTUAL_TOOLS = [["query_suppliers", "detect_trends"], ["get_demand_forecast", "query_suppliers"], []]
 CATEGORIES = ["forecasting", "analysis", "scenarios", "intelligence", "executive", "multi-tool", "hallucination"]

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from procurelytics import constants as K
-from procurelytics.operators import evaluate
+from procurelytics.operators import evaluate, keywords
 from procurelytics.plans import bindings as B
 from procurelytics.plans.catalog import views as V
 from procurelytics.plans.registry import query, shown, sql
@@ -45,6 +45,27 @@ def severity_score(spark, d):
     return shown(payloads.severity_score(B.notices(spark, d), "doc_type"), "doc_id", "severity", "impact_score")
 
 
+@query("keyword_table", sql("notices", """
+SELECT doc_id, keyword, coalesce(label, 'NONE') AS label FROM (
+  SELECT doc_id, min(place) AS place FROM notices LEFT JOIN ranked ON contains(lower(title), keyword) GROUP BY doc_id)
+LEFT JOIN ranked USING (place)""", ints="doc_id").replace("WITH ", """WITH items AS (SELECT item_id, string_split(lower(text), ' ') AS w FROM benchmark),
+phrases AS (SELECT item_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS keyword FROM items),
+ranked AS (SELECT keyword, min(CAST(item_id AS VARCHAR)) AS label, row_number() OVER (ORDER BY length(keyword) DESC, keyword) AS place FROM phrases GROUP BY 1),
+""", 1))
+def keyword_table(spark, d):
+    """Whole notices against a table of phrases that grows with the benchmark."""
+    out = keywords.first_keyword(B.notices(spark, d), "title", B.phrase_table(spark, d), otherwise="NONE")
+    return shown(out, "doc_id", "keyword", "label")
+
+
+@query("keyword_rules", sql("notices", f"SELECT doc_id, CASE {RULES} ELSE 'TRADE_NOTICE' END AS event_type FROM notices", ints="doc_id"))
+def keyword_rules(spark, d):
+    """The rules of ``classify_events`` as a keyword table."""
+    rules = keywords.rule_table(spark, K.EVENT_RULES)
+    out = keywords.first_keyword(B.notices(spark, d), "title", rules, otherwise=K.DEFAULT_EVENT_TYPE, into=("word", "event_type"))
+    return shown(out, "doc_id", "event_type")
+
+
 # --- responses ---------------------------------------------------------------------------
 @query("eval_tool_accuracy", sql("eval_scored", "SELECT prompt_id, tool_accuracy, array_to_string(unexpected, '|') AS unexpected_tools FROM eval_scored", doubles="tool_accuracy"))
 def eval_tool_accuracy(spark, d):

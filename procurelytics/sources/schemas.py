@@ -86,4 +86,5 @@ TEST_TABLES = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "benchmark": "item_id bigint, text string",
 }
