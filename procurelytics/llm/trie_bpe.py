@@ -1,8 +1,8 @@
 """Word BPE by prefix-sharing traversal.
 
 The distinct words of a block, sorted, are the leaves of their trie in depth-first order.  The walk
-keeps one state per depth of the current path: the last token of the prefix's encoding and that
-encoding.  The last token of a longer prefix is the one suffix token that stays apart from the last
+keeps one state per depth of the current path: the last token of the prefix's encoding and where that
+token starts.  The last token of a longer prefix is the one suffix token that stays apart from the last
 token before it, so words that share a prefix share its states."""
 
 from __future__ import annotations
@@ -88,29 +88,35 @@ class WordBpe:
         self.apart[key] = apart
         return apart
 
-    def _step(self, word: bytes, depth: int, tokens: dict, last: list, codes: list):
-        """The last token of ``word[:depth]`` and the encoding up to it."""
+    def _step(self, word: bytes, depth: int, tokens: dict, last: list):
+        """The last token of ``word[:depth]`` and where it starts."""
         for start in range(max(0, depth - self.longest), depth):
             token = tokens.get(word[start:depth])
             if token is not None and (start == 0 or (last[start] is not None and self.stay_apart(last[start], token))):
-                return token, codes[start] + token.to_bytes(4, "little")
-        return None, b""
+                return token, start
+        return None, 0
 
     def encode_words(self, words) -> dict[str, bytes]:
-        """Encodings of distinct words by a depth-first walk over their trie."""
-        out, path, last, codes = {}, b"", [None], [b""]
+        """Encodings of distinct words by a depth-first walk over their trie.  A depth keeps two numbers;
+        the encoding is read backwards from the end of a word, each token's start being the depth of the one before."""
+        out, path, last, starts = {}, b"", [None], [0]
         for raw, word in sorted((w.encode("utf-8"), w) for w in words):
             stem, shared = raw[:-1], 0
             top = min(len(stem), len(path))
             while shared < top and stem[shared] == path[shared]:
                 shared += 1
-            del last[shared + 1 :], codes[shared + 1 :]
+            del last[shared + 1 :], starts[shared + 1 :]
             for depth in range(shared + 1, len(stem) + 1):
-                token, code = self._step(raw, depth, self.inner, last, codes)
+                token, start = self._step(raw, depth, self.inner, last)
                 last.append(token)
-                codes.append(code)
+                starts.append(start)
             path = stem
-            out[word] = self._step(raw, len(raw), self.final, last, codes)[1]
+            token, at = self._step(raw, len(raw), self.final, last)
+            codes = [] if token is None else [token]
+            while token is not None and at:
+                codes.append(last[at])
+                at = starts[at]
+            out[word] = np.array(codes[::-1], "<u4").tobytes()
         return out
 
     def words(self, text: str) -> list[str]:

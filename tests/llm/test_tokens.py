@@ -83,6 +83,20 @@ def test_memory_and_block_bounds_change_nothing(monkeypatch):
     assert [b"".join(small.encode([p])[0] for p in trie_bpe._pieces(t)) for t in texts] == want
 
 
+def test_a_very_long_word_takes_memory_of_its_length():
+    import tracemalloc
+
+    rng = random.Random(6)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(200_000)), "a" * 300_000, "z" + "é" * 100_000]
+    bpe, t = trie_bpe.WordBpe(), library(trie_bpe.VOCABULARY)
+    tracemalloc.start()
+    got = bpe.encode(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [t.encode(w, add_special_tokens=False).ids for w in words]
+    assert peak < 300e6
+
+
 def test_packed_pieces(frame):
     rows, df = frame
     t = library(tokens.VOCABULARY)
