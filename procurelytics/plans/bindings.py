@@ -119,6 +119,13 @@ def supplier_locations(spark: SparkSession, d: str) -> DataFrame:
     return risk.distance_to(located)
 
 
+def customer_locations(spark: SparkSession, d: str) -> DataFrame:
+    key = F.col("c_custkey")
+    return read_parquet(spark, d, "customer").select(
+        key.alias("customer_key"), (F.pmod(key * 7919, F.lit(17000)) / 100.0 - 84.9963).alias("lat"),
+        (F.pmod(key * 104729, F.lit(36000)) / 100.0 - 179.9987).alias("lon"))
+
+
 # --- trade, geography, prices, weather ----------------------------------------------
 def trade_events(spark: SparkSession, d: str) -> DataFrame:
     orders, customers = read_parquet(spark, d, "orders"), read_parquet(spark, d, "customer")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from procurelytics import constants as K
 from procurelytics.functions import dates
 from procurelytics.functions.bands import choose
-from procurelytics.operators import inventory, prices, ranking, risk, rollups, signals, weather
+from procurelytics.operators import inventory, nearest, prices, ranking, risk, rollups, signals, weather
 from procurelytics.plans import bindings as B
 from procurelytics.plans.catalog import views as V
 from procurelytics.plans.registry import query, shown, sql
@@ -70,6 +70,17 @@ def nearest_facility(spark, d):
     return shown(out, "supplier_key", "nearest_facility", "nearest_km")
 
 
+@query("nearest_site", sql("suppliers", f"""
+SELECT customer_key, arg_min(site, place) AS nearest_site, min(km) AS nearest_km FROM (
+SELECT customer_key, site, km, struct_pack(km := km, site := site) AS place FROM (
+SELECT customer_key, supplier_name AS site, {V.km('c.lat', 'c.lon', 's.lat', 's.lon')} AS km
+FROM (SELECT c_custkey AS customer_key, c_custkey * 7919 % 17000 / 100.0 - 84.9963 AS lat, c_custkey * 104729 % 36000 / 100.0 - 179.9987 AS lon FROM customer) c,
+     (SELECT supplier_name, lat, lon FROM suppliers) s)) GROUP BY 1""", ints="customer_key", doubles="nearest_km"))
+def nearest_site(spark, d):
+    out = nearest.nearest_site(B.customer_locations(spark, d), B.supplier_locations(spark, d), site="supplier_name")
+    return shown(out, "customer_key", "nearest_site", "nearest_km")
+
+
 @query("company_size", sql("suppliers", """
 SELECT supplier_key, CASE WHEN company_size = 'SMALL' THEN 'SMALL' WHEN company_size = 'LARGE' THEN 'LARGE' ELSE 'MEDIUM' END AS size
 FROM suppliers""", ints="supplier_key"))
