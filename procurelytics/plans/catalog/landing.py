@@ -1,6 +1,6 @@
 """Landed payloads, periods, de-duplication, sinks and upsert."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from procurelytics import constants as K
 from procurelytics.functions import dates
@@ -9,9 +9,10 @@ from procurelytics.operators import ranking, rollups, search
 from procurelytics.plans import bindings as B
 from procurelytics.plans.catalog import views as V
 from procurelytics.plans.registry import query, shown, sql
-from procurelytics.session import scratch_path
+from procurelytics.session import delete_at_end, scratch_path
 from procurelytics.sinks import layers
 from procurelytics.sources import payloads, schemas, tables
+from procurelytics.streaming import stateful
 
 
 # --- scans ---------------------------------------------------------------------------
@@ -197,6 +198,44 @@ def dedupe_first(spark, d):
     return shown(out, "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
+def in_two_runs(rows, early, start):
+    """Lands the rows that are not ``early``, runs the stream, lands the others and runs it again;
+    returns where the stream wrote."""
+    spark = rows.sparkSession
+    landing, out, mark = (scratch_path(spark, n) for n in ("stream-in", "stream-out", "stream-mark"))
+    for part in (rows.where(~early), rows.where(early)):
+        part.write.mode("append").parquet(landing)
+        start(spark.readStream.schema(rows.schema).parquet(landing), out, mark).awaitTermination()
+    delete_at_end(spark, landing, out, mark)
+    return out
+
+
+@query("stream_first_occurrence", sql("", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) = 1""",
+                                      ints="l_orderkey l_linenumber l_partkey", doubles="l_extendedprice"))
+def stream_first_occurrence(spark, d):
+    """Later lines land first, so the second run replaces what the first one kept."""
+    rows = B.read_parquet(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
+    out = in_two_runs(rows, F.coalesce(F.col("l_linenumber") == 1, F.lit(False)),
+                      lambda stream, out, mark: stateful.first_occurrences(stream, ["l_orderkey"], order, out, mark))
+    return shown(stateful.current(spark, out, rows.schema, ["l_orderkey"]), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+
+
+@query("stream_monthly_totals", sql("", """
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, l_returnflag, count(*) AS shipments, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1, 2""",
+                                    ints="shipments", doubles="quantity"))
+def stream_monthly_totals(spark, d):
+    """Half of the rows of every month land late."""
+    rows = B.read_parquet(spark, d, "lineitem").select("l_linenumber", "l_shipdate", "l_returnflag", "l_quantity")
+    totals = {"shipments": F.count("*"), "quantity": F.sum("l_quantity")}
+    out = in_two_runs(rows, F.coalesce(F.col("l_linenumber") % 2 == 0, F.lit(False)),
+                      lambda stream, out, mark: stateful.monthly_totals(stream, "l_shipdate", totals, out, mark, by=["l_returnflag"]))
+    schema = T.StructType([T.StructField("month", T.TimestampType()), rows.schema["l_returnflag"], T.StructField("shipments", T.LongType()), T.StructField("quantity", T.DoubleType())])
+    return shown(stateful.current(spark, out, schema, ["month", "l_returnflag"]))
+
+
 # --- sinks ---------------------------------------------------------------------------------
 @query("write_layer", sql("contracts", "SELECT contract_id, vendor_name, obligated_amount, fiscal_year FROM contracts",
                           ints="contract_id fiscal_year", doubles="obligated_amount"))

@@ -80,6 +80,12 @@ def _file_system(spark: SparkSession, path: str, call: str, *args) -> None:
     getattr(folder.getFileSystem(spark._jsc.hadoopConfiguration()), call)(folder, *args)
 
 
+def delete_at_end(spark: SparkSession, *paths: str) -> None:
+    """Folders that go when the driver's JVM ends; they must be there already."""
+    for path in paths:
+        _file_system(spark, path, "deleteOnExit")
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder, if it is there, wherever its file system lies."""
     _file_system(spark, path, "delete", True)
