@@ -12,7 +12,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from procurelytics.llm.common import SPACE, SPACE_CHARS, bounded_batches, whole_text
 from procurelytics.session import cut_lineage
@@ -26,6 +26,8 @@ REGISTERS = ROWS * BANDS
 #: The estimate may lie this far under the threshold before a pair is dropped unverified (about seven
 #: standard deviations of the estimate at the threshold).
 ESTIMATE_SLACK = 0.18
+#: Where at most so many documents lie outside a group's component, they are compared with all of it.
+FEW_OUTSIDE = 16
 #: Most ids that are broadcast to pick texts (8 bytes each).
 BROADCAST_IDS = 2_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -210,6 +212,39 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+def _sharing_differences(crowded: DataFrame, hubs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): every pair of documents of a group (largest, doc_id, component) that can be linked, one of
+    them outside the group's component ``largest``.
+
+    Documents differ from the group's hub in a set of shingles, added or missing, and from each other in
+    what these sets do not share.  So two that are d and f away from the hub and linked share at least
+    (d + f - the most that linked ones differ) / 2 of their differences; with those of a group put in
+    one order, the rarest first, they share one within the first places that this leaves.  A document that is
+    not linked to the hub has so large a d that its partner needs only about half of its places,
+    which are its own rare ones."""
+    core = hubs.join(sets.select(F.col("doc_id").alias("hub"), F.col("shingles").alias("core")), "hub")
+    away = crowded.join(sets, "doc_id").join(core, "largest").select(
+        "largest", "hub", "doc_id", "component", F.size("shingles").alias("n"), F.size("core").alias("of"),
+        F.concat(F.array_except("shingles", "core"), F.array_except("core", "shingles")).alias("differs"))
+    away = cut_lineage(away.withColumn("d", F.size("differs")))
+    part, whole = 100 - percent, 100 + percent  # linked: whole * difference <= part * (sum of the sizes)
+    outside, far = F.col("component") != F.col("largest"), F.col("d") * whole > (F.col("n") + F.col("of")) * part
+
+    each = away.select("largest", "doc_id", "component", "n", "of", "d", F.explode("differs").alias("s"))
+    times = each.groupBy("largest", "s").agg(F.count("*").alias("times"))
+    place = F.row_number().over(Window.partitionBy("largest", "doc_id").orderBy("times", "s"))
+    placed = cut_lineage(each.join(times, ["largest", "s"]).withColumn("place", place).where("times > 1"))
+    ours = placed.where(outside & far & ((F.col("place") - 1) * percent <= F.col("n") * part))
+    theirs = placed.where((F.col("place") - 1) * 2 * whole <= F.col("d") * whole + F.greatest(F.col("n") - F.col("of"), F.lit(0)) * part)
+    side = lambda rows, x: rows.select("largest", "s", *[F.col(c).alias(c + x) for c in ("doc_id", "component", "n", "d", "place")])
+    # twice as many as must be shared, times ``whole``
+    shared = (F.col("da") + F.col("db")) * whole - (F.col("na") + F.col("nb")) * part
+    fits = [shared <= (F.col(f"d{x}") - F.col(f"place{x}") + 1) * 2 * whole for x in "ab"]
+    pairs = side(ours, "a").join(side(theirs, "b"), ["largest", "s"]).where((F.col("componenta") != F.col("componentb")) & fits[0] & fits[1])
+    to_hub = away.where(outside & ~far).select(F.col("doc_id").alias("a"), F.col("hub").alias("b"))
+    return pairs.select(F.col("doc_ida").alias("a"), F.col("doc_idb").alias("b")).unionByName(to_hub)
+
+
 def near_components(docs: DataFrame, shingle: int = 2, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id): documents linked where 100 * shared >= percent * union of
     their shingle sets, directly or over others; component_id is the least doc_id reachable.
@@ -220,10 +255,11 @@ def near_components(docs: DataFrame, shingle: int = 2, percent: int = 80) -> Dat
     empty table gives no rows.
 
     Every bucket is first linked to one member, the one that meets most others over all its buckets:
-    a star, not all pairs, and the origin of a group of copies is its centre.  Where a bucket still
-    holds several components, those outside its largest one are compared with all others of other
-    components, so no pair that shares a bucket and could be linked is left out.  That step is
-    quadratic only in groups of documents that are alike but below the similarity asked for."""
+    a star, not all pairs, and the origin of a group of copies is its centre.  Buckets that still
+    hold several components are put together by the largest one of each.  Where few documents of such a group lie
+    outside that component, they are compared with all others of other components; where many do,
+    with those that share enough of what sets them apart from the group's hub (see
+    ``_sharing_differences``).  No pair that shares a bucket and could be linked is left out."""
     spark = docs.sparkSession
     bounded_batches(spark)
     base = cut_lineage(sketches(shingle_sets(docs.where("doc_id is not null").select("doc_id", "text"), shingle)))
@@ -256,11 +292,16 @@ def near_components(docs: DataFrame, shingle: int = 2, percent: int = 80) -> Dat
     members = shared.select("bucket", "doc_id").join(found, "doc_id")
     sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("m"))
     largest = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("m", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    mixed = cut_lineage(members.join(largest, "bucket").join(sketched.select("doc_id", "n"), "doc_id"))
-    outside = mixed.where("component <> largest").select("bucket", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    others = mixed.select("bucket", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), "largest")
+    mixed = cut_lineage(members.join(largest, "bucket").select("largest", "doc_id", "component").distinct().join(sketched.select("doc_id", "n"), "doc_id"))
+    counted = mixed.where("component <> largest").groupBy("largest").agg(F.count("*").alias("out"))
+    few = mixed.join(counted.where(F.col("out") <= FEW_OUTSIDE).select("largest"), "largest")
+    outside = few.where("component <> largest").select("largest", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
+    others = few.select("largest", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
     near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    pairs = outside.join(others, "bucket").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("largest")) | (F.col("a") < F.col("b"))) & near)
+    pairs = outside.join(others, "largest").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("largest")) | (F.col("a") < F.col("b"))) & near).select("a", "b")
+    crowded = cut_lineage(mixed.join(counted.where(F.col("out") > FEW_OUTSIDE).select("largest"), "largest").select("largest", "doc_id", "component"))
+    hubs = crowded.where("component = largest").join(degree, "doc_id").groupBy("largest").agg(F.max_by("doc_id", F.struct("met", -F.col("doc_id"))).alias("hub"))
+    pairs = pairs.unionByName(_sharing_differences(crowded, hubs, sets_of(crowded.select("doc_id")), percent))
     likely = cut_lineage(_likely(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), sketched, percent))
     links = links.unionByName(_confirmed(likely, sets_of(likely.select(F.explode(F.array("a", "b")).alias("doc_id"))), percent))
     found = components(reps, links)

@@ -73,3 +73,38 @@ def test_sketch_merges_and_estimates():
     assert (np.maximum(one(a), one(b)) == one(ids)).all()
     assert abs(near_dup.joint_similarity(one(a), one(b), 1200, 1200) - 900 / 1500) < 0.12
     assert near_dup.joint_similarity(one(a), one(a), 1200, 1200) > 0.99
+
+
+def group_of_copies(members, words, seed):
+    """Copies of one text with words replaced, dropped or added, some edits on top of others' edits."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
+    texts = [base]
+    for _ in range(members - 1):
+        copy = list(rng.choice(texts) if rng.random() < 0.3 else base)
+        for _ in range(rng.randint(0, words // 9)):
+            k, word = rng.randrange(len(copy)), f"e{rng.randrange(60) if rng.random() < 0.3 else rng.random()}"
+            copy[k : k + 1] = {0: [], 1: [copy[k], word]}.get(rng.randrange(6), [word])
+        texts.append(copy)
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("size, few", [(2, 0), (2, 16), (5, 0)])
+def test_crowded_groups_match_brute_force(spark, monkeypatch, size, few):
+    monkeypatch.setattr(near_dup, "FEW_OUTSIDE", few)
+    docs = group_of_copies(150, 60, 5) + [(1000 + i, t) for i, t in group_of_copies(60, 25, 6)] + [(3000 + i, t) for i, t in corpus() if t]
+    got = {r[0]: (r[1], r[2]) for r in near_dup.near_components(spark.createDataFrame([(*d, "x") for d in docs], SCHEMA), size).collect()}
+    assert got == brute(docs, size)
+
+
+def test_unlike_copies_are_not_all_compared(spark, monkeypatch):
+    docs, compared, likely = group_of_copies(500, 100, 7), [], near_dup._likely
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return likely(pairs, *rest)
+
+    monkeypatch.setattr(near_dup, "_likely", counted)
+    got = {r[0]: r[2] for r in near_dup.near_components(spark.createDataFrame([(*d, "x") for d in docs], SCHEMA)).collect()}
+    assert sum(i != c for i, c in got.items()) > 200
+    assert sum(compared) < 20 * len(docs), compared
