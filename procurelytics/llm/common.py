@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from procurelytics.session import bounded_batches as bounded_batches
+
 #: What separates words: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -16,10 +18,3 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def whole_text(column: str) -> Column:
     """The whole text; NULL reads as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
-
-
-def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Rows of one Arrow batch: texts can be long, so a batch holds at most ``rows`` of them."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows:
-        spark.conf.set(key, str(rows))

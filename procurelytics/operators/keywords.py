@@ -9,9 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
+from procurelytics.session import bounded_batches
+
 # Bounds of a keyword table, which every task holds: rows, and characters of keywords and labels.
 MAX_KEYWORDS = 500_000
 MAX_CHARS = 32_000_000
+#: Rows of one batch in a Python worker, which holds a batch of whole texts as read, lower-cased and returned.
+BATCH_ROWS = 200
 
 
 def rule_table(spark, rules) -> DataFrame:
@@ -72,6 +76,7 @@ def first_keyword(
     if clash:
         raise ValueError(f"columns {clash} are there already")
     ranks = ranked(keywords)
+    bounded_batches(df.sparkSession, BATCH_ROWS)
 
     def matched(batches):
         import ahocorasick

@@ -97,3 +97,23 @@ def test_many_keywords_take_about_the_time_of_few(spark):
 
     few, many = seconds(50), seconds(10_000)
     assert many < 5 * few + 1
+
+
+def test_python_holds_few_texts_at_once(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def rows_of_each(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"id": [batch.num_rows]})
+
+    spark.conf.set(key, "10000")
+    try:
+        df = spark.range(3000).selectExpr("id", "repeat('some words ', 20) AS t").coalesce(1)
+        out = keywords.first_keyword(df, "t", spark.createDataFrame([(1, "words", "x")], TABLE))
+        sizes = out.mapInArrow(rows_of_each, "id long")
+        assert max(r["id"] for r in sizes.collect()) <= keywords.BATCH_ROWS and out.where("keyword = 'words'").count() == 3000
+    finally:
+        spark.conf.set(key, before)
