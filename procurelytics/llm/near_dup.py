@@ -28,6 +28,8 @@ REGISTERS = ROWS * BANDS
 ESTIMATE_SLACK = 0.18
 #: Where at most so many documents lie outside a group's component, they are compared with all of it.
 FEW_OUTSIDE = 16
+#: Links that one task shrinks without a shuffle; more are dealt.
+FEW_LINKS = 20_000
 #: Most ids that are broadcast to pick texts (8 bytes each).
 BROADCAST_IDS = 2_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -151,9 +153,10 @@ def band_keys(sketched: DataFrame) -> DataFrame:
 
 
 # --- components ---------------------------------------------------------------------
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(doc_id, component): the least id reachable over ``links`` (a, b).  Labels and links shrink
-    together: each round, links move to the least neighbour of their ends until none is left."""
+def _least_reachable(links: DataFrame) -> DataFrame:
+    """(doc_id, component) of the ends of ``links`` (a, b) that are not their component's least id.
+    Labels and links shrink together: each round, links move to the least neighbour of their ends until
+    none is left."""
     edges = cut_lineage(links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
 
     def marked(df):
@@ -162,6 +165,8 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
     state = marked(edges)
     while True:
+        if state[0] <= FEW_LINKS:
+            edges = edges.coalesce(1)
         # large star: every neighbour above a node hangs on the node's least neighbour
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -174,8 +179,12 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         state = marked(edges)
         if state == before:
             break
-    found = edges.groupBy("hi").agg(F.min("lo").alias("component"))
-    return nodes.join(found.withColumnRenamed("hi", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    return edges.groupBy(F.col("hi").alias("doc_id")).agg(F.min("lo").alias("component"))
+
+
+def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``nodes`` with ``component``: the least id reachable from doc_id over ``links`` (a, b)."""
+    return nodes.join(_least_reachable(links), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
 
 
 # --- links --------------------------------------------------------------------------
@@ -212,8 +221,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _sharing_differences(crowded: DataFrame, hubs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): every pair of documents of a group (largest, doc_id, component) that can be linked, one of
+def _sharing_differences(crowded: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): every pair of documents of a group (largest, hub, doc_id, component) that can be linked, one of
     them outside the group's component ``largest``.
 
     Documents differ from the group's hub in a set of shingles, added or missing, and from each other in
@@ -222,8 +231,8 @@ def _sharing_differences(crowded: DataFrame, hubs: DataFrame, sets: DataFrame, p
     one order, the rarest first, they share one within the first places that this leaves.  A document that is
     not linked to the hub has so large a d that its partner needs only about half of its places,
     which are its own rare ones."""
-    core = hubs.join(sets.select(F.col("doc_id").alias("hub"), F.col("shingles").alias("core")), "hub")
-    away = crowded.join(sets, "doc_id").join(core, "largest").select(
+    core = crowded.where("doc_id = hub").select("largest", "hub").join(sets.select(F.col("doc_id").alias("hub"), F.col("shingles").alias("core")), "hub")
+    away = crowded.drop("hub", "n").join(sets, "doc_id").join(core, "largest").select(
         "largest", "hub", "doc_id", "component", F.size("shingles").alias("n"), F.size("core").alias("of"),
         F.concat(F.array_except("shingles", "core"), F.array_except("core", "shingles")).alias("differs"))
     away = cut_lineage(away.withColumn("d", F.size("differs")))
@@ -265,7 +274,7 @@ def near_components(docs: DataFrame, shingle: int = 2, percent: int = 80) -> Dat
     base = cut_lineage(sketches(shingle_sets(docs.where("doc_id is not null").select("doc_id", "text"), shingle)))
     keyed = base.groupBy("doc_id").agg(F.min("k").alias("k"))
     classes = cut_lineage(keyed.where("k is not null").groupBy("k").agg(F.min("doc_id").alias("rep")))
-    reps = classes.select(F.col("rep").alias("doc_id"))
+    reps = classes.select(F.col("rep").alias("doc_id"), "k.n")
     chosen = base.join(classes.select(F.col("rep").alias("doc_id"), F.col("k").alias("of")), "doc_id").where(F.col("k") == F.col("of"))
     sketched = cut_lineage(chosen.groupBy("doc_id").agg(F.first("k.n").alias("n"), F.first("registers").alias("registers")))
     buckets = band_keys(sketched)
@@ -282,29 +291,35 @@ def near_components(docs: DataFrame, shingle: int = 2, percent: int = 80) -> Dat
         return cut_lineage(shingle_sets(texts, shingle).groupBy("doc_id").agg(F.min_by("shingles", least).alias("shingles")))
 
     degree = shared.groupBy("doc_id").agg(F.sum("m").alias("met"))
-    ranked = shared.select("bucket", "doc_id").join(degree, "doc_id")
+    ranked = cut_lineage(shared.select("bucket", "doc_id").join(degree, "doc_id"))
     centre = ranked.groupBy("bucket").agg(F.max_by("doc_id", F.struct("met", -F.col("doc_id"))).alias("b"))
     pairs = ranked.join(centre, "bucket").where("doc_id <> b").select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b"))
     likely = cut_lineage(_likely(pairs.distinct(), sketched, percent))
     links = cut_lineage(_confirmed(likely, sets_of(likely.select(F.explode(F.array("a", "b")).alias("doc_id"))), percent))
 
     found = cut_lineage(components(reps, links))
-    members = shared.select("bucket", "doc_id").join(found, "doc_id")
+    members = ranked.join(found, "doc_id")
     sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("m"))
     largest = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("m", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    mixed = cut_lineage(members.join(largest, "bucket").select("largest", "doc_id", "component").distinct().join(sketched.select("doc_id", "n"), "doc_id"))
-    counted = mixed.where("component <> largest").groupBy("largest").agg(F.count("*").alias("out"))
-    few = mixed.join(counted.where(F.col("out") <= FEW_OUTSIDE).select("largest"), "largest")
+    mixed = cut_lineage(members.join(largest, "bucket").select("largest", "doc_id", "component", "n", "met").distinct())
+    counted = mixed.groupBy("largest").agg(F.count_if(F.col("component") != F.col("largest")).alias("out"), F.max_by(
+        "doc_id", F.when(F.col("component") == F.col("largest"), F.struct("met", -F.col("doc_id")))).alias("hub"))
+    mixed = cut_lineage(mixed.join(counted, "largest"))
+    few = mixed.where(F.col("out") <= FEW_OUTSIDE)
     outside = few.where("component <> largest").select("largest", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
     others = few.select("largest", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
     near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     pairs = outside.join(others, "largest").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("largest")) | (F.col("a") < F.col("b"))) & near).select("a", "b")
-    crowded = cut_lineage(mixed.join(counted.where(F.col("out") > FEW_OUTSIDE).select("largest"), "largest").select("largest", "doc_id", "component"))
-    hubs = crowded.where("component = largest").join(degree, "doc_id").groupBy("largest").agg(F.max_by("doc_id", F.struct("met", -F.col("doc_id"))).alias("hub"))
-    pairs = pairs.unionByName(_sharing_differences(crowded, hubs, sets_of(crowded.select("doc_id")), percent))
+    crowded = mixed.where(F.col("out") > FEW_OUTSIDE)
+    sets = sets_of(mixed.select("doc_id"))
+    pairs = pairs.unionByName(_sharing_differences(crowded, sets, percent))
     likely = cut_lineage(_likely(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), sketched, percent))
-    links = links.unionByName(_confirmed(likely, sets_of(likely.select(F.explode(F.array("a", "b")).alias("doc_id"))), percent))
-    found = components(reps, links)
+    late = cut_lineage(_confirmed(likely, sets, percent))
+    if late.count():  # they join whole components
+        label = lambda x: found.select(F.col("doc_id").alias(x), F.col("component").alias(f"{x}_in"))
+        late = late.join(label("a"), "a").join(label("b"), "b").select(F.col("a_in").alias("a"), F.col("b_in").alias("b"))
+        moved = _least_reachable(late).select(F.col("doc_id").alias("component"), F.col("component").alias("to"))
+        found = found.join(moved, "component", "left").withColumn("component", F.coalesce("to", "component"))
     of_class = classes.join(found.withColumnRenamed("doc_id", "rep"), "rep").select("k", F.col("component").alias("component_id"))
     return keyed.join(of_class, "k", "left").select("doc_id", F.coalesce("k.n", F.lit(0)).cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
