@@ -8,7 +8,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from procurelytics.llm.common import bounded_batches, whole_text
+from procurelytics.llm.common import bounded_batches, giving_back, whole_text
 
 UNKNOWN = "und"
 #: Bound of the training sample: documents per language, and bytes of dictionary built from them.
@@ -93,7 +93,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
 
     schema = T.StructType([*out.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("lang_accepted", T.BooleanType())])
     source = docs.select(*[F.col(f"`{c}`") for c in names], F.col("text").cast("string").alias("_text_to_judge"))
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(giving_back(run), schema)
 
 
 def language_rows(docs: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from procurelytics.llm.common import SPACE, SPACE_CHARS, bounded_batches, whole_text
+from procurelytics.llm.common import SPACE, SPACE_CHARS, bounded_batches, giving_back, whole_text
 from procurelytics.session import cut_lineage
 
 #: Base of the levels, rate of arrivals per register, and the range levels are truncated to.
@@ -23,6 +23,8 @@ BASE, RATE, TOP = 1.02, 20.0, 65_534
 #: of different minima make it smaller still.
 ROWS, BANDS = 6, 48
 REGISTERS = ROWS * BANDS
+#: Documents and shingles that are sketched at a time (about 100 bytes a shingle).
+SKETCHED, SKETCHED_SHINGLES = 500, 200_000
 #: The estimate may lie this far under the threshold before a pair is dropped unverified (about seven
 #: standard deviations of the estimate at the threshold).
 ESTIMATE_SLACK = 0.18
@@ -121,9 +123,20 @@ def joint_similarity(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int, lea
 
 
 def _flat(column):
-    """Values and owners of a list column."""
-    values = column.flatten().to_numpy(zero_copy_only=False)
-    return values, np.repeat(np.arange(len(column)), np.asarray(column.value_lengths().fill_null(0)))
+    """Values and lengths of a list column."""
+    return column.flatten().to_numpy(zero_copy_only=False), np.asarray(column.value_lengths().fill_null(0))
+
+
+def _levels(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sketches of the sets that end at ``ends`` in ``values``, a bounded number of shingles at a time; the
+    parts of a set that is larger merge by the maximum."""
+    levels = np.zeros((len(ends), REGISTERS), np.uint16)
+    for low in range(0, len(values), SKETCHED_SHINGLES):
+        part = values[low : low + SKETCHED_SHINGLES]
+        owner = np.searchsorted(ends, np.arange(low, low + len(part)), "right")
+        first, last = int(owner[0]), int(owner[-1]) + 1
+        np.maximum(levels[first:last], sketch(part, owner - first, last - first), out=levels[first:last])
+    return levels
 
 
 def sketches(sets: DataFrame) -> DataFrame:
@@ -133,15 +146,14 @@ def sketches(sets: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                values, owner = _flat(part.column(1))
-                levels = sketch(values, owner, part.num_rows)
-                some = np.bincount(owner, minlength=part.num_rows) > 0
-                registers = pa.array([r.tobytes() if f else None for r, f in zip(levels, some)], pa.binary())
+            for start in range(0, batch.num_rows, SKETCHED):
+                part = batch.slice(start, SKETCHED)
+                values, sizes = _flat(part.column(1))
+                levels = _levels(values, np.cumsum(sizes))
+                registers = pa.array([r.tobytes() if n else None for r, n in zip(levels, sizes)], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(0), *part.columns[2:], registers], names=["doc_id", "n", "h1", "h2", "s", "registers"])
 
-    found = sets.select("doc_id", "shingles", key.alias("k")).select("doc_id", "shingles", "k.*").mapInArrow(run, "doc_id long, n int, h1 long, h2 int, s long, registers binary")
+    found = sets.select("doc_id", "shingles", key.alias("k")).select("doc_id", "shingles", "k.*").mapInArrow(giving_back(run), "doc_id long, n int, h1 long, h2 int, s long, registers binary")
     return found.select("doc_id", F.when(F.col("n") > 0, F.struct("n", "h1", "h2", "s")).alias("k"), "registers")
 
 
@@ -202,7 +214,7 @@ def _likely(pairs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(left, "a").join(right, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    return joined.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(giving_back(run), "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -218,7 +230,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(giving_back(run), "a long, b long")
 
 
 def _sharing_differences(crowded: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

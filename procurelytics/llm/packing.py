@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from procurelytics.llm.common import bounded_batches, whole_text
+from procurelytics.llm.common import bounded_batches, giving_back, whole_text
 from procurelytics.llm.tokens import byte_encoder
 
 CAPACITY = 1024
@@ -121,7 +121,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> DataF
             yield placed()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text("text").alias("text"))
-    return source.mapInArrow(run, OUT)
+    return source.mapInArrow(giving_back(run), OUT)
 
 
 def packing_rows(docs: DataFrame) -> DataFrame:

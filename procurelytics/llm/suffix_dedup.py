@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, functions as F
 
-from procurelytics.llm.common import bounded_batches
+from procurelytics.llm.common import bounded_batches, give_back, giving_back
 
 LENGTH, WORD = 50, 24
 #: Bytes of text that one chunk is meant to hold, and bytes that are scanned at a time.
@@ -145,6 +145,7 @@ def _listed(chunk: pa.Table, copies: pa.Table, ranges: int):
 
 def _table(rows, names: str, kinds) -> pa.Table:
     columns = list(zip(*rows)) if rows else [()] * len(kinds)
+    give_back()
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names.split())
 
 
@@ -333,7 +334,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["_id", "_left"])
 
     removed = remove_repeats(docs.where("doc_id is not null").select("doc_id", "text")).where("n_removed > 0")
-    left = removed.select("doc_id", "kept").mapInArrow(decode, "_id long, _left string")
+    left = removed.select("doc_id", "kept").mapInArrow(giving_back(decode), "_id long, _left string")
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_id"))
     joined = own.join(left, "_id", "left").where(F.col("_left").isNull() | F.col("_left").rlike(r"[^\x20\x09-\x0D]"))
     changed = {"text": F.col("_left"), "n_chars": F.length("_left").cast("bigint")}

@@ -108,3 +108,27 @@ def test_unlike_copies_are_not_all_compared(spark, monkeypatch):
     got = {r[0]: r[2] for r in near_dup.near_components(spark.createDataFrame([(*d, "x") for d in docs], SCHEMA)).collect()}
     assert sum(i != c for i, c in got.items()) > 200
     assert sum(compared) < 20 * len(docs), compared
+
+
+def test_sketches_take_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    sizes = np.array([0, 3, 900_000, 0, 40, 600_000, 1, 0])
+    values = rng.integers(-(2**63), 2**63 - 1, sizes.sum())
+    want = near_dup.sketch(values, np.repeat(np.arange(len(sizes)), sizes), len(sizes))
+    tracemalloc.start()
+    got = near_dup._levels(values, np.cumsum(sizes))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got[sizes > 0] == want[sizes > 0]).all() and peak < 40e6
+
+
+def test_workers_give_memory_back_at_the_end(monkeypatch):
+    from procurelytics.llm import common
+
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    assert list(common.giving_back(lambda batches: (b + 1 for b in batches))([1, 2])) == [2, 3] and calls == [1]
+    monkeypatch.undo()
+    common.give_back()
