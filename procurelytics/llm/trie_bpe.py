@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import unicodedata
 
 import numpy as np
@@ -27,10 +28,22 @@ _S = "\t-\r \u0085 "
 _LATIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 _BEYOND = re.compile("[^\x00-ɏ]")
 _ANY = regex.compile(PATTERN)
+#: Last bytes of a token by which the lengths to try are looked up.
+ENDING = 4
 #: Words and token pairs a worker remembers, and characters it handles at a time.
 REMEMBERED, PAIRS, BLOCK_CHARS = 400_000, 1_000_000, 2_000_000
 
 
+def _lengths(tokens: dict[bytes, int]) -> dict[bytes, tuple[int, ...]]:
+    """Lengths of the tokens by their last ENDING bytes, the longest first, and all shorter ones; where no
+    token has an ending, only shorter tokens fit."""
+    found: dict[bytes, set[int]] = {}
+    for token in tokens:
+        if len(token) >= ENDING:
+            found.setdefault(token[-ENDING:], set(range(1, ENDING))).add(len(token))
+    return {end: tuple(sorted(n, reverse=True)) for end, n in found.items()}
+
+
 class WordBpe:
     """One vocabulary with what a worker remembers of it; results do not depend on the memory."""
 
@@ -50,7 +63,7 @@ class WordBpe:
                 self.final[plain_bytes(token[: -len(end)])] = i
             else:
                 self.inner[plain_bytes(token)] = i
-        self.longest = max(map(len, [*self.inner, *self.final]))
+        self.inner_lengths, self.final_lengths = _lengths(self.inner), _lengths(self.final)
         self.rank, self.parts, self.made = {}, {}, {}
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
@@ -88,35 +101,51 @@ class WordBpe:
         self.apart[key] = apart
         return apart
 
-    def _step(self, word: bytes, depth: int, tokens: dict, last: list):
-        """The last token of ``word[:depth]`` and where it starts."""
-        for start in range(max(0, depth - self.longest), depth):
-            token = tokens.get(word[start:depth])
-            if token is not None and (start == 0 or (last[start] is not None and self.stay_apart(last[start], token))):
-                return token, start
-        return None, 0
-
     def encode_words(self, words) -> dict[str, bytes]:
         """Encodings of distinct words by a depth-first walk over their trie.  A depth keeps two numbers;
         the encoding is read backwards from the end of a word, each token's start being the depth of the one before."""
         out, path, last, starts = {}, b"", [None], [0]
-        for raw, word in sorted((w.encode("utf-8"), w) for w in words):
-            stem, shared = raw[:-1], 0
-            top = min(len(stem), len(path))
-            while shared < top and stem[shared] == path[shared]:
-                shared += 1
+        inner, final, known, short = self.inner, self.final, self.apart.get, range(ENDING - 1, 0, -1)
+        for word in sorted(words):  # code points sort as their bytes do
+            raw = word.encode("utf-8")
+            token = final.get(raw)
+            if token is not None:  # a whole word comes first in every search
+                out[word] = token.to_bytes(4, "little")
+                continue
+            size, shared = len(raw), min(len(raw) - 1, len(path))
+            if raw[:shared] != path[:shared]:
+                shared = 0
+                while raw[shared] == path[shared]:
+                    shared += 1
             del last[shared + 1 :], starts[shared + 1 :]
-            for depth in range(shared + 1, len(stem) + 1):
-                token, start = self._step(raw, depth, self.inner, last)
+            get, lengths = inner.get, self.inner_lengths.get
+            for depth in range(shared + 1, size + 1):
+                if depth == size:
+                    get, lengths = final.get, self.final_lengths.get
+                # the longest token that ends here and stays apart from the one before it
+                for n in lengths(raw[depth - ENDING : depth], short) if depth >= ENDING else short:
+                    start = depth - n
+                    if start < 0:
+                        continue
+                    token = get(raw[start:depth])
+                    if token is None:
+                        continue
+                    if not start:
+                        break
+                    before = last[start]
+                    if before is not None:
+                        apart = known((before, token))
+                        if self.stay_apart(before, token) if apart is None else apart:
+                            break
+                else:
+                    token, start = None, 0
                 last.append(token)
                 starts.append(start)
-            path = stem
-            token, at = self._step(raw, len(raw), self.final, last)
-            codes = [] if token is None else [token]
-            while token is not None and at:
+            path, codes, at = raw[:-1], [], size
+            while at and last[at] is not None:
                 codes.append(last[at])
                 at = starts[at]
-            out[word] = np.array(codes[::-1], "<u4").tobytes()
+            out[word] = struct.pack(f"<{len(codes)}I", *codes[::-1])
         return out
 
     def words(self, text: str) -> list[str]:

@@ -97,6 +97,24 @@ def test_a_very_long_word_takes_memory_of_its_length():
     assert peak < 300e6
 
 
+def test_few_tokens_are_tried_at_a_prefix():
+    class Counted(dict):
+        tried = 0
+
+        def get(self, *key):
+            Counted.tried += 1
+            return dict.get(self, *key)
+
+    rng = random.Random(8)
+    words = {"".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(rng.randint(1, 16))) for _ in range(3000)}
+    bpe, t = trie_bpe.WordBpe(), library(trie_bpe.VOCABULARY)
+    bpe.inner = Counted(bpe.inner)
+    got = bpe.encode_words(words)
+    assert all(np.frombuffer(got[w], "<u4").tolist() == t.encode(w, add_special_tokens=False).ids for w in words if w.isalpha())
+    prefixes = {w[:n] for w in words for n in range(1, len(w))}
+    assert Counted.tried < 4 * len(prefixes)
+
+
 def test_packed_pieces(frame):
     rows, df = frame
     t = library(tokens.VOCABULARY)
