@@ -22,7 +22,8 @@ from procurelytics.session import cut_lineage, scratch_path
 CHUNK_CHARS = 262_144
 VERSION, BREAK = "WARC/1.1\r\n", "\r\n"
 #: Where the version line, or its start at the end of a chunk, is cut.
-_INSIDE = r"(?<=WARC/1)(?=\.1(?:\r\n|\z))"
+_START = "WARC/1"
+_INSIDE = rf"(?<={_START})(?=\.1(?:\r\n|\z))"
 NO_DATE = "1970-01-01T00:00:00Z"
 
 
@@ -31,7 +32,9 @@ def chunk_table(df: DataFrame, record: str, payload: str, *others: str) -> DataF
     A NULL payload is one empty chunk."""
     text = whole_text(payload)
     starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.length(text) / CHUNK_CHARS) - 1, F.lit(0)).cast("int"))
-    cut = F.flatten(F.transform(starts, lambda i: F.split(F.substring(text, i * CHUNK_CHARS + 1, F.lit(CHUNK_CHARS)), _INSIDE)))
+    whole = F.when(F.octet_length(text) <= CHUNK_CHARS, F.array(text)).otherwise(F.transform(starts, lambda i: F.substring(text, i * CHUNK_CHARS + 1, F.lit(CHUNK_CHARS))))
+    # few texts hold the line at all, and the pattern is slow
+    cut = F.when(F.contains(text, F.lit(_START)), F.flatten(F.transform(whole, lambda c: F.split(c, _INSIDE)))).otherwise(whole)
     parts = df.select(record, *others, F.posexplode(F.transform(cut, lambda c, i: F.struct(c.alias("chunk"), i.alias("n")))).alias("chunk_no", "_c"),
                       F.size(cut).alias("_n"))
     return parts.select(record, *others, "chunk_no", F.col("_c.chunk").alias("chunk"), (F.col("chunk_no") == F.col("_n") - 1).alias("last"))

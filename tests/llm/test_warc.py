@@ -49,3 +49,11 @@ def test_small_payloads_are_responses(spark, tmp_path):
     path = str(tmp_path / "w")
     warc.write_archives(spark.createDataFrame([(1, "u", "ab", ""), (2, "u", "ab", ""), (3, "u", "long", ""), (4, "u", "long", "")], SCHEMA), path, min_payload=3)
     assert {r["row"]: r["record_type"] for r in warc.read_records(spark, path).collect()} == {1: "response", 2: "response", 3: "response", 4: "revisit"}
+
+
+def test_texts_without_the_version_are_not_searched_for_it(spark, monkeypatch):
+    monkeypatch.setattr(warc, "_INSIDE", "(")  # no pattern: it fails where it is used
+    df = spark.createDataFrame([(1, "a" * 100), (2, "é"), (3, ""), (4, None)], "row long, html string")
+    monkeypatch.setattr(warc, "CHUNK_CHARS", 40)
+    got = sorted((r["row"], r["chunk_no"], r["chunk"], r["last"]) for r in warc.chunk_table(df, "row", "html").collect())
+    assert got == [(1, 0, "a" * 40, False), (1, 1, "a" * 40, False), (1, 2, "a" * 20, True), (2, 0, "é", True), (3, 0, "", True), (4, 0, "", True)]
