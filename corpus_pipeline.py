@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from procurelytics.llm import language, near_dup, packing, quality, suffix_dedup
-from procurelytics.session import cut_lineage
+from procurelytics.session import cut_result
 
 
 def keep_quality(spark, docs, sf_dir):
@@ -43,10 +43,12 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages over ``documents``; each stage's rows are stored and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for position, (_, stage) in enumerate(STAGES, 1):
-        docs = stage(spark, docs, sf_dir)
-        if position < len(STAGES):
-            docs = cut_lineage(docs)
-    return docs
+    """All stages over ``documents``; each stage's rows are stored and read again, and go when the next
+    stage's are stored."""
+
+    def after(position):
+        if not position:
+            return spark.read.parquet(f"{sf_dir}/documents.parquet")
+        return cut_result(spark, lambda: STAGES[position - 1][1](spark, after(position - 1), sf_dir))
+
+    return STAGES[-1][1](spark, after(len(STAGES) - 1), sf_dir)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from procurelytics.llm.common import SPACE, SPACE_CHARS, bounded_batches, giving_back, whole_text
-from procurelytics.session import cut_lineage
+from procurelytics.session import cut_lineage, cut_result
 
 #: Base of the levels, rate of arrivals per register, and the range levels are truncated to.
 BASE, RATE, TOP = 1.02, 20.0, 65_534
@@ -343,7 +343,7 @@ def near_dup_rows(docs: DataFrame) -> DataFrame:
 def keep_one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the near copies of a document with a smaller id.  Rows without doc_id have
     no group and stay; of rows that repeat a doc_id all stay or go together."""
-    gone = cut_lineage(near_components(docs.select("doc_id", "text"), shingle, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")))
+    gone = cut_result(docs.sparkSession, lambda: near_components(docs.select("doc_id", "text"), shingle, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")))
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
     return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")

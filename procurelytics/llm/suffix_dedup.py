@@ -22,9 +22,9 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from procurelytics.llm.common import bounded_batches, give_back, giving_back
+from procurelytics.llm.common import bounded_batches, give_back
 
 LENGTH, WORD = 50, 24
 #: Bytes of text that one chunk is meant to hold, and bytes that are scanned at a time.
@@ -160,30 +160,24 @@ def _unpack(blob: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(blob, np.uint8), count=n).astype(bool)
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept): the UTF-8 bytes of each whole text without those
-    covered by a LENGTH-byte string that also starts in a document with a smaller id.
+def _bytes(text: str):
+    """The UTF-8 bytes of a text column; NULL is empty."""
+    return F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("raw")
 
-    NULL and empty texts, and texts shorter than LENGTH bytes, stay as they are.  Rows that repeat an
-    id give one row, of which the text with the least SHA-256 counts.  Rows without id have no order:
-    they neither remove nor lose anything and keep a row each.  Other columns are not read; an empty
-    table gives no rows.
 
-    A text equal to one with a smaller id is settled without a scan, by digest: all of it goes if it
-    has LENGTH bytes.  Documents are dealt out by id, so a large group of copies is spread; a run held
-    by many documents is sent once per chunk.  Windows around a word that very many chunks hold are
-    dealt out by their own content instead of by that word."""
-    spark = docs.sparkSession
+def _removed(named: DataFrame, shown, schema) -> DataFrame:
+    """Steps 1 to 5 on rows (doc_id, raw) with ids, which may carry more columns: what ``shown`` makes of a
+    chunk's rows and of its documents (doc_id, n_bytes, n_removed, n_spans, kept).  Rows are dealt out
+    once, for all steps."""
+    spark = named.sparkSession
     bounded_batches(spark)
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("raw"))
-    total = rows.agg(F.sum(F.length("raw"))).collect()[0][0] or 0
+    total = named.agg(F.sum(F.length("raw"))).collect()[0][0] or 0
     chunks = max(2 * spark.sparkContext.defaultParallelism, math.ceil(total / CHUNK_BYTES))
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int").alias("chunk")
-    named = rows.where("doc_id is not null")
     digests = named.select("doc_id", F.sha2("raw", 256).alias("d")).groupBy("doc_id").agg(F.min("d").alias("d"))
     firsts = digests.groupBy("d").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
     same = digests.join(firsts, "d").where("first < doc_id").select(F.col("doc_id").alias("copy"), chunk.alias("at"))
-    dealt = named.select("doc_id", "raw", chunk).groupBy("chunk")
+    dealt = named.select("*", chunk).groupBy("chunk")
 
     def mark(key, table: pa.Table, same: pa.Table) -> pa.Table:
         """Step 1."""
@@ -306,13 +300,34 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             covered = np.cumsum(step[:-1]) > 0
             spans = int(np.count_nonzero(covered[1:] & ~covered[:-1])) + int(covered[0])
             out.append((doc, len(raw), int(covered.sum()), spans, raw[~covered].tobytes()))
-        return _table(out, "doc_id n_bytes n_removed n_spans kept", (_LONG, _LONG, _LONG, _LONG, _BINARY))
+        return shown(table, out)
 
     marks = dealt.cogroup(same.groupBy("at")).applyInArrow(mark, "range int, chunk int, prints binary, twice binary")
     answers = marks.groupBy("range").applyInArrow(answer, "chunk int, range int, repeated binary, many binary")
     runs = dealt.cogroup(answers.withColumnRenamed("chunk", "at").unionByName(same, allowMissingColumns=True).groupBy("at")).applyInArrow(cut, "range int, chunk int, runs array<binary>, keys binary, holders binary")
     gone = runs.groupBy("range").applyInArrow(settle, "chunk int, gone binary")
-    done = dealt.cogroup(gone.withColumnRenamed("chunk", "at").unionByName(same, allowMissingColumns=True).groupBy("at")).applyInArrow(remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return dealt.cogroup(gone.withColumnRenamed("chunk", "at").unionByName(same, allowMissingColumns=True).groupBy("at")).applyInArrow(remove, schema)
+
+
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept): the UTF-8 bytes of each whole text without those
+    covered by a LENGTH-byte string that also starts in a document with a smaller id.
+
+    NULL and empty texts, and texts shorter than LENGTH bytes, stay as they are.  Rows that repeat an
+    id give one row, of which the text with the least SHA-256 counts.  Rows without id have no order:
+    they neither remove nor lose anything and keep a row each.  Other columns are not read; an empty
+    table gives no rows.
+
+    A text equal to one with a smaller id is settled without a scan, by digest: all of it goes if it
+    has LENGTH bytes.  Documents are dealt out by id, so a large group of copies is spread; a run held
+    by many documents is sent once per chunk.  Windows around a word that very many chunks hold are
+    dealt out by their own content instead of by that word."""
+
+    def shown(table: pa.Table, out: list) -> pa.Table:
+        return _table(out, "doc_id n_bytes n_removed n_spans kept", (_LONG, _LONG, _LONG, _LONG, _BINARY))
+
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), _bytes(text))
+    done = _removed(rows.where("doc_id is not null"), shown, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
     zero = F.lit(0).cast("long")
     return done.unionByName(rows.where("doc_id is null").select("doc_id", F.length("raw").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.col("raw").alias("kept")))
 
@@ -328,14 +343,18 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     which nothing is removed, NULL or empty too, stays as it is, as do rows without id; rows that
     repeat an id share one text."""
 
-    def decode(batches):
-        for batch in batches:
-            texts = [b.as_py().decode("utf-8", "ignore") for b in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["_id", "_left"])
-
-    removed = remove_repeats(docs.where("doc_id is not null").select("doc_id", "text")).where("n_removed > 0")
-    left = removed.select("doc_id", "kept").mapInArrow(giving_back(decode), "_id long, _left string")
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_id"))
-    joined = own.join(left, "_id", "left").where(F.col("_left").isNull() | F.col("_left").rlike(r"[^\x20\x09-\x0D]"))
-    changed = {"text": F.col("_left"), "n_chars": F.length("_left").cast("bigint")}
-    return joined.select(*[(F.when(F.col("_left").isNotNull(), changed[c]).otherwise(F.col(f"_row.`{c}`")) if c in changed else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
+    def shown(table: pa.Table, out: list) -> pa.Table:
+        left = {doc: kept.decode("utf-8", "ignore") for doc, _, removed, _, kept in out if removed}
+        texts = pa.array([left.get(doc) for doc in table.column("doc_id").to_pylist()], pa.string())
+        give_back()
+        return table.select(["doc_id", "raw", "missing", "row"]).append_column("left", texts)
+
+    # all columns go along with the one shuffle of the texts: a join would send every text once more
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+    named = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), _bytes("text"), F.col("text").isNull().alias("missing"), row)
+    found = _removed(named, shown, T.StructType([*named.schema.fields, T.StructField("left", T.StringType())]))
+    found = found.where(F.col("left").isNull() | F.col("left").rlike(r"[^\x20\x09-\x0D]")).sortWithinPartitions("doc_id")
+    own = {"text": F.when(~F.col("missing"), F.col("raw").cast("string"))} | {c: F.col(f"row.`{c}`") for c in docs.columns if c != "text"}
+    changed = {"text": F.col("left"), "n_chars": F.length("left").cast("bigint")}
+    out = found.select(*[(F.when(F.col("left").isNotNull(), changed[c]).otherwise(own[c]) if c in changed else own[c]).alias(c) for c in docs.columns])
+    return out.unionByName(docs.where("doc_id is null"))

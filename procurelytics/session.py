@@ -7,6 +7,7 @@ import re
 import shutil
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -71,16 +72,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# folders of the tables that ``cut_lineage`` stored since the innermost ``cut_result`` began
+_ON_THE_WAY: ContextVar[list[str] | None] = ContextVar("on_the_way", default=None)
+
+
 def cut_lineage(df):
     """Materialise ``df`` reliably (it survives the loss of executors) and return
-    a frame that reads the stored rows.  The rows are deleted when the driver's JVM ends."""
+    a frame that reads the stored rows.  The rows are deleted when the driver's JVM ends, or, inside
+    ``cut_result``, as soon as its result is stored."""
     spark = df.sparkSession
     path = scratch_path(spark, "cut")
     df.write.parquet(path)
     _file_system(spark, path, "deleteOnExit")
+    if _ON_THE_WAY.get() is not None:
+        _ON_THE_WAY.get().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_result(spark: SparkSession, make):
+    """``cut_lineage`` of the frame that ``make()`` returns.  Tables that it stored on the way are deleted then,
+    so no other frame may read them."""
+    began = _ON_THE_WAY.set([])
+    try:
+        found, on_the_way = make(), _ON_THE_WAY.get()
+    finally:
+        _ON_THE_WAY.reset(began)
+    stored = cut_lineage(found)
+    for path in on_the_way:
+        delete_folder(spark, path)
+    return stored
+
+
 def _file_system(spark: SparkSession, path: str, call: str, *args) -> None:
     """One call of the file system that holds ``path``."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

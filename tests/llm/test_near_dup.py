@@ -1,5 +1,6 @@
 """Near copies against all pairs by brute force."""
 
+import os
 import random
 import re
 
@@ -7,6 +8,7 @@ import numpy as np
 import pytest
 
 from procurelytics.llm import near_dup
+from procurelytics.session import shared_folder
 
 SCHEMA = "doc_id long, text string, component string"
 
@@ -65,6 +67,14 @@ def test_repeated_ids_missing_ids_and_empty_table(spark):
     assert kept.columns == ["doc_id", "text", "component"] and sorted(str(r[0]) for r in kept.collect()) == ["1", "1", "3", "None"]
 
 
+def test_only_the_ids_that_go_stay_stored(spark):
+    folder = shared_folder(spark).split(":")[-1]
+    before = set(os.listdir(folder))
+    kept = near_dup.keep_one_of_each(spark.createDataFrame([(i, f"a b c d e f g h {i % 3} i j k l m n", "") for i in range(9)], SCHEMA), 2)
+    assert len(set(os.listdir(folder)) - before) == 1
+    assert sorted(r[0] for r in kept.collect()) == [0, 1, 2]
+
+
 def test_sketch_merges_and_estimates():
     rng = np.random.default_rng(1)
     ids = rng.integers(-(2**62), 2**62, 1500)

@@ -1,5 +1,6 @@
 """Removed bytes against brute force."""
 
+import hashlib
 import random
 
 import pytest
@@ -61,3 +62,31 @@ def test_repeated_ids_missing_ids_and_empty_table(spark):
     left = suffix_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA))
     assert left.columns == ["doc_id", "text", "raw"]
     assert sorted((str(r[0]), r[1]) for r in left.collect() if r[1]) == [("1", long), ("1", long), ("2", "é"), ("None", long)]
+
+
+ODD = "doc_id int, `of.text` array<string>, text string, n_chars long, raw string, missing boolean, left date"
+
+
+def test_the_other_columns_go_along_with_the_one_shuffle_of_texts(spark):
+    long, own = "abcdefghij" * 6, "klmnopqrst" * 7
+    rows = [(1, ["p"], long, 7, "r", True, None), (2, None, f"{long}é", -1, None, None, None), (2, ["q", None], None, 8, "s", False, None),
+            (3, [], own, 9, None, True, None), (3, ["u"], None, None, "t", True, None), (4, None, long, 5, None, None, None), (5, None, f" {own}\n", 1, None, None, None),
+            (6, None, None, 4, "", False, None), (7, None, "", None, None, None, None), (None, ["v"], long, 6, "w", True, None), (8, None, f"{long[:59]}😀", 60, None, None, None)]
+    left = suffix_dedup.without_repeats(spark.createDataFrame(rows, ODD))
+    assert left.columns == ["doc_id", "of.text", "text", "n_chars", "raw", "missing", "left"] and left.schema["doc_id"].dataType.simpleString() == "int"
+    # of 2 the text with the least SHA-256 counts for both rows, of 3 too; 4 and 5 have nothing but repeats and white space
+    changed = {2: None, 3: None}
+    for doc, texts in ((2, [f"{long}é", ""]), (3, [own, ""])):
+        changed[doc] = min(texts, key=lambda t: hashlib.sha256(t.encode()).digest())
+    got = sorted((tuple(r) for r in left.collect()), key=str)
+    want = []
+    for doc, *rest in rows:
+        if doc == 4 or (doc == 5 and changed[3] == own):
+            continue
+        one = [doc, *rest]
+        if (doc == 2 and changed[2]) or doc == 8:
+            one[2:4] = ["é", 1] if doc == 2 else ["😀", 1]
+        want.append(tuple(one))
+    assert got == sorted(want, key=str)
+    # a join back to the documents would send their texts a second time
+    assert "LeftOuter" not in left._jdf.queryExecution().optimizedPlan().toString()

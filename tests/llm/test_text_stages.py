@@ -1,5 +1,6 @@
 """Quality rules, language and the pipeline."""
 
+import os
 import random
 
 import pytest
@@ -7,6 +8,7 @@ import pytest
 import corpus_pipeline
 from procurelytics.llm import language, quality
 from procurelytics.llm.queries import ORACLES, QUERIES
+from procurelytics.session import shared_folder
 
 import oracle
 
@@ -92,6 +94,14 @@ def test_pipeline(spark, tmp_path):
     assert seen[-1].groupBy("doc_id", "doc_tokens").agg({"length": "sum"}).where("doc_tokens <> `sum(length)`").count() == 0
 
 
+def test_pipeline_keeps_only_what_is_still_read(spark):
+    folder = shared_folder(spark).split(":")[-1]
+    before = set(os.listdir(folder))
+    out = corpus_pipeline.run(spark, FOLDER)
+    assert len(set(os.listdir(folder)) - before) == 1  # the texts to pack
+    assert out.count()
+
+
 def test_pipeline_on_odd_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in corpus_pipeline.STAGES:

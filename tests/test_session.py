@@ -6,7 +6,7 @@ import os
 
 import pytest
 
-from procurelytics.session import cut_lineage, scratch_path, shared_folder
+from procurelytics.session import cut_lineage, cut_result, scratch_path, shared_folder
 
 
 def session(named, master="local[2]"):
@@ -38,3 +38,26 @@ def test_cut_reads_stored_rows(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "Range" not in plan and shared_folder(spark).split(":")[-1] in plan
     assert out.count() == 10 and out.columns == ["id", "v"]
+
+
+def test_tables_on_the_way_go_with_the_result(spark):
+    folder = shared_folder(spark).split(":")[-1]
+    before, made = set(os.listdir(folder)), []
+
+    def inner():
+        made.append(cut_lineage(spark.range(5)))
+        return made[0].selectExpr("id + 1 AS id")
+
+    def outer():
+        found = cut_result(spark, inner)
+        assert len(set(os.listdir(folder)) - before) == 1  # the inner result only
+        return found.unionByName(cut_lineage(spark.range(2)))
+
+    out = cut_result(spark, outer)
+    assert len(set(os.listdir(folder)) - before) == 1
+    assert sorted(r[0] for r in out.collect()) == [0, 1, 1, 2, 3, 4, 5]
+    kept = cut_lineage(spark.range(3))
+    with pytest.raises(ZeroDivisionError):
+        cut_result(spark, lambda: 1 / 0)
+    assert kept.count() == 3 and cut_lineage(spark.range(4)).count() == 4
+    assert len(set(os.listdir(folder)) - before) == 3
